@@ -1,0 +1,5 @@
+"""Intentionally empty: none of the rebuilt workloads is a stream.
+
+The parsers in :mod:`larkspur.sources` are plain column expressions, so they also
+apply to a streaming DataFrame of text lines without changes.
+"""
