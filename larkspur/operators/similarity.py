@@ -126,7 +126,7 @@ def _keyed(records: DataFrame) -> DataFrame:
     return records.select("id", "text", F.sha2("text", 256).alias("text_key"))
 
 
-def _record_ids(records: DataFrame) -> DataFrame:
+def record_ids(records: DataFrame) -> DataFrame:
     """``id``, ``vector_id``; the text itself does not travel."""
     keyed = _keyed(records).select("id", "text_key")
     first = keyed.groupBy("text_key").agg(F.min("id").alias("vector_id"))
@@ -182,7 +182,7 @@ def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] =
         (F.col("up_to") / F.col("norm")).alias("tail"), "left_df", "right_df"), "side")
     return Vectors(vectors.filter("side = 'left'").drop("side"),
                    vectors.filter("side = 'right'").drop("side"),
-                   _record_ids(left), _record_ids(right))
+                   record_ids(left), record_ids(right))
 
 
 def _blocks(vectors: DataFrame, side: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import text_sort_key
 from larkspur.operators.counting import top
-from larkspur.operators.ratings import rating_stats, rmse, titled_stats
+from larkspur.operators.ratings import rating_stats, titled_stats
 
 # Factorisation settings and the thresholds of the two movie lists.
 RANKS, ITERATIONS, REGULARISATION, SEED = (4, 8, 12), 5, 0.1, 5
@@ -55,7 +55,11 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 
 def model_error(model: ALSModel, actual: DataFrame) -> DataFrame:
-    return rmse(predict(model, actual).distinct(), actual)
+    """Error of the model on rated pairs: ``n``, ``rmse``. The prediction is added to the
+    rated row itself, so nothing has to be joined back."""
+    error = F.col("prediction").cast("double") - F.col("rating")
+    return model.transform(actual).agg(F.count("prediction").alias("n"),
+                                       F.sqrt(F.avg(error * error)).alias("rmse"))
 
 
 @dataclass(frozen=True)
