@@ -22,19 +22,27 @@ def duplicate_averages(vectors: Vectors, left: DataFrame, right: DataFrame,
     """Number and mean score of known matches and of all other record pairs:
     two rows ``is_match``, ``pairs``, ``mean_score``.
 
-    The other pairs are all pairs minus the matches, so they are not enumerated.
+    The other pairs are all pairs minus the matches, so they are not enumerated. A match
+    given twice counts twice among the matches and is taken off the others once.
     """
-    scored = pair_scores(gold, vectors)
-    matches = scored.agg(F.count("score").alias("pairs"), F.sum("score").alias("total"))
-    known = scored.dropDuplicates(["left_id", "right_id"]).agg(
-        F.count("score").alias("n"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("s"))
-    known = known.select(F.struct("n", "s").alias("known")).scalar()
-    others = all_pairs_summary(vectors, left, right).select(
-        (F.col("pairs") - known.getField("n")).alias("pairs"),
-        (F.col("sum_score") - known.getField("s")).alias("total"))
-    return (matches.withColumn("is_match", F.lit(True))
-            .unionByName(others.withColumn("is_match", F.lit(False)))
-            .select("is_match", "pairs", F.try_divide("total", "pairs").alias("mean_score")))
+    score, times = F.col("score"), F.col("times")
+    everything = all_pairs_summary(vectors, left, right).select(
+        F.struct("pairs", "sum_score")).scalar()
+    known = pair_scores(gold, vectors).agg(
+        F.coalesce(F.sum(times), F.lit(0)).alias("given"),
+        F.sum(score * times).alias("given_score"),
+        F.count(score).alias("distinct"),
+        F.coalesce(F.sum(score), F.lit(0.0)).alias("distinct_score"))
+
+    def row(is_match: bool, pairs: Column, total: Column) -> Column:
+        return F.struct(F.lit(is_match).alias("is_match"), pairs.alias("pairs"),
+                        F.try_divide(total, pairs).alias("mean_score"))
+
+    other_pairs = everything.getField("pairs") - F.col("distinct")
+    other_score = everything.getField("sum_score") - F.col("distinct_score")
+    return known.select(F.inline(F.array(
+        row(True, F.col("given"), F.col("given_score")),
+        row(False, other_pairs, other_score))))
 
 
 def score_histogram(vectors: Vectors, gold_scores: DataFrame) -> DataFrame:
@@ -52,8 +60,7 @@ def score_histogram(vectors: Vectors, gold_scores: DataFrame) -> DataFrame:
     moved = upper.unionByName(upper.select(F.lit(0).alias("bin"), (-F.col("n")).alias("n")))
     everything = candidate_count(vectors).select(
         F.lit(0).alias("bin"), F.col("candidate_pairs").alias("n"))
-    known = gold_scores.select(score_bin(F.col("score")).alias("bin"),
-                               F.lit(-1).cast("bigint").alias("n"))
+    known = gold_scores.select(score_bin(F.col("score")).alias("bin"), (-F.col("times")).alias("n"))
     return (moved.unionByName(everything).unionByName(known)
             .filter(F.col("bin").between(0, BINS - 1))
             .groupBy("bin").agg(F.sum("n").alias("n")).filter("n <> 0"))
@@ -76,8 +83,8 @@ def quality_curve(histogram: DataFrame, gold_scores: DataFrame) -> DataFrame:
     """
     spark = histogram.sparkSession
     missed = gold_scores.groupBy(missed_from(F.col("score")).alias("step")).agg(
-        F.count(F.lit(1)).alias("missed"))
-    matches = gold_scores.agg(F.count(F.lit(1)).alias("n")).scalar()
+        F.sum("times").alias("missed"))
+    matches = gold_scores.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n")).scalar()
     steps = (spark.range(BINS).select(F.col("id").cast("int").alias("step"))
              .join(histogram.select(F.col("bin").alias("step"), "n"), "step", "left")
              .join(missed, "step", "left")

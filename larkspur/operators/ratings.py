@@ -49,7 +49,7 @@ def split_rows(df: DataFrame, weights: Sequence[float], keys: Sequence[str],
 
 def random_parts(df: DataFrame, weights: Sequence[float], seed: int = 0) -> list[DataFrame]:
     """Spark's own seeded random split; membership depends on the partitioning."""
-    return df.randomSplit(list(weights), seed)
+    return df.randomSplit([float(w) for w in weights], seed)
 
 
 def rmse(predicted: DataFrame, actual: DataFrame, keys: Sequence[str] = ("user", "movie"),

@@ -26,6 +26,9 @@ BLOCK = 4096
 BITMAP_ABOVE = 64
 # Vectors per bitmap slice; Spark's bitmaps hold 32,768 bits.
 SLICE, BITMAP_BITS = 16_384, 32_768
+# Decimals of a score. The same sum taken in another order differs far behind them, so a
+# score on the edge of a bin or threshold stays on one side of it from run to run.
+SCORE_DECIMALS = 12
 # Slack for sums of doubles in comparisons that may only keep too much, never too little.
 SLACK = 1e-9
 
@@ -211,6 +214,10 @@ def _meeting(left: DataFrame, right: DataFrame) -> DataFrame:
         (F.col("left_unit") * F.col("right_unit")).alias("product"))
 
 
+def _score(products: Column) -> Column:
+    return F.round(F.sum(products), SCORE_DECIMALS)
+
+
 def _dot_products(wanted: DataFrame, vectors: Vectors) -> DataFrame:
     """Exact scores of the given (left_id, right_id) vector pairs that share a token."""
     a = vectors.left.select(F.col("id").alias("left_id"), "token",
@@ -222,7 +229,7 @@ def _dot_products(wanted: DataFrame, vectors: Vectors) -> DataFrame:
     return (wanted.select("left_id", "right_id").join(a, "left_id")
             .join(b, ["right_id", "token"])
             .groupBy("left_id", "right_id")
-            .agg(F.sum(F.col("left_unit") * F.col("right_unit")).alias("score"),
+            .agg(_score(F.col("left_unit") * F.col("right_unit")).alias("score"),
                  F.max("left_copies").alias("left_copies"),
                  F.max("right_copies").alias("right_copies")))
 
@@ -243,7 +250,7 @@ def similar_pairs(vectors: Vectors, min_score: float = 0.0) -> DataFrame:
     head = F.col("tail") >= half - SLACK
     met = (_meeting(vectors.left.filter(head), vectors.right.filter(head))
            .groupBy("left_id", "right_id")
-           .agg(F.sum("product").alias("score"), F.max("left_copies").alias("left_copies"),
+           .agg(_score(F.col("product")).alias("score"), F.max("left_copies").alias("left_copies"),
                 F.max("right_copies").alias("right_copies")))
     if min_score <= 0:
         return met.select(columns)
@@ -261,21 +268,27 @@ def expand_copies(pairs: DataFrame, vectors: Vectors) -> DataFrame:
 
 
 def pair_scores(pairs: DataFrame, vectors: Vectors, keep_unknown: bool = False) -> DataFrame:
-    """Cosine of the given record pairs, 0 where they share no token.
+    """Cosine of the given record pairs, 0 where they share no token: ``left_id``,
+    ``right_id``, ``score``, ``times``.
 
-    ``pairs``: ``left_id``, ``right_id``, which stay as they are, repeats included. Pairs
-    naming an unknown record drop out, or get 0 with ``keep_unknown``.
+    One row per distinct pair, with the number of times it was given. Pairs naming an
+    unknown record drop out, or get 0 with ``keep_unknown``.
     """
     how = "left" if keep_unknown else "inner"
-    left = vectors.left_ids.select(F.col("id").alias("left_id"), F.col("vector_id").alias("lv"))
-    right = vectors.right_ids.select(F.col("id").alias("right_id"),
-                                     F.col("vector_id").alias("rv"))
-    known = pairs.join(left, "left_id", how).join(right, "right_id", how)
-    wanted = known.select(F.col("lv").alias("left_id"), F.col("rv").alias("right_id")).distinct()
-    scores = _dot_products(wanted, vectors).select(
-        F.col("left_id").alias("lv"), F.col("right_id").alias("rv"), "score")
-    return (known.join(scores, ["lv", "rv"], "left")
-            .select("left_id", "right_id", F.coalesce("score", F.lit(0.0)).alias("score")))
+    left_ids = vectors.left_ids.select(F.col("id").alias("left_id"),
+                                       F.col("vector_id").alias("left_vector"))
+    right_ids = vectors.right_ids.select(F.col("id").alias("right_id"),
+                                         F.col("vector_id").alias("right_vector"))
+    a = vectors.left.select(F.col("id").alias("left_vector"), "token",
+                            F.col("unit").alias("left_unit"))
+    b = vectors.right.select(F.col("id").alias("right_vector"), "token",
+                             F.col("unit").alias("right_unit"))
+    given = (pairs.groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("times"))
+             .join(left_ids, "left_id", how).join(right_ids, "right_id", how))
+    met = (given.join(a, "left_vector", "left").join(b, ["right_vector", "token"], "left"))
+    product = F.col("left_unit") * F.col("right_unit")
+    return met.groupBy("left_id", "right_id").agg(
+        F.coalesce(_score(product), F.lit(0.0)).alias("score"), F.max("times").alias("times"))
 
 
 def look_up(scores: DataFrame, left_id: object, right_id: object) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import text_sort_key
@@ -75,27 +76,31 @@ def select_rank(train: DataFrame, validation: DataFrame,
                 ranks: Sequence[int] = RANKS) -> Selection:
     """Fit one model per rank and compare validation errors; the first minimum wins.
 
-    The inputs are kept for the fits and released afterwards. Only one error value
-    per rank reaches the driver.
+    The fits do not depend on each other and are submitted side by side. Their inputs are
+    kept until all are done. Only one error value per rank reaches the driver.
     """
+    spark = train.sparkSession
     train, validation = train.persist(), validation.persist()
-    models, rows = {}, []
+
+    def evaluate(rank: int) -> tuple[ALSModel, Row]:
+        model = fit(train, rank)
+        return model, model_error(model, validation).first()
+
     try:
-        for position, rank in enumerate(ranks):
-            models[rank] = fit(train, rank)
-            error = model_error(models[rank], validation).first()
-            rows.append((position, rank, error.n, error.rmse))
+        validation.count()
+        with ThreadPool(len(ranks)) as pool:
+            results = pool.map(inheritable_thread_target(spark)(evaluate), ranks)
     finally:
         train.unpersist()
         validation.unpersist()
-    spark = train.sparkSession
-    frames = [spark.range(1).select(F.lit(r).alias("rank"), F.lit(n).alias("n"),
-                                    F.lit(e).cast("double").alias("rmse")) for _, r, n, e in rows]
-    usable = [row for row in rows if row[3] is not None]
-    if not usable:
+    scored = [(error.rmse, position) for position, (_, error) in enumerate(results)
+              if error.rmse is not None]
+    if not scored:
         raise ValueError("no validation row could be predicted")
-    best = min(usable, key=lambda row: (row[3], row[0]))[1]
-    return Selection(reduce(DataFrame.unionByName, frames), best, models[best])
+    best = min(scored)[1]
+    rows = [(rank, error.n, error.rmse) for rank, (_, error) in zip(ranks, results)]
+    errors = spark.createDataFrame(rows, "rank int, n bigint, rmse double")
+    return Selection(errors, ranks[best], results[best][0])
 
 
 def with_new_user(train: DataFrame, new_ratings: DataFrame) -> DataFrame:

@@ -178,7 +178,8 @@ idf AS (SELECT token, count(*) AS df, ((SELECT count(*) FROM benchmark)
 weights AS (SELECT side, id, token, tf * idf AS weight FROM tf JOIN idf USING (token))"""
 UNITS = """units AS (SELECT side, id, token,
   weight / sqrt(sum(weight * weight) OVER (PARTITION BY side, id)) AS unit FROM weights)"""
-SCORES = """scores AS (SELECT a.id AS left_id, b.id AS right_id, sum(a.unit * b.unit) AS score
+SCORES = """scores AS (SELECT a.id AS left_id, b.id AS right_id,
+    round(sum(a.unit * b.unit), 12) AS score
   FROM (SELECT * FROM units WHERE side = 'left') a
   JOIN (SELECT * FROM units WHERE side = 'right') b USING (token) GROUP BY 1, 2)"""
 TOKEN_SQL = _with(RAW_TOKENS, TOKENS, TF)

@@ -439,7 +439,7 @@ def _assigned_pairs(spark, folder):
 @query
 def pair_similarity(spark, folder):
     scores = sim.pair_scores(_assigned_pairs(spark, folder), _vectors(spark, folder))
-    return rounded(scores, "score")
+    return rounded(scores.drop("times"), "score")
 
 
 @query
@@ -471,8 +471,8 @@ def dup_similarity_avg(spark, folder):
 
 @query
 def gold_scores(spark, folder):
-    return rounded(matching.gold_scores(*_sides(spark, folder), t.gold(spark, folder),
-                                        t.STOPWORDS), "score")
+    scores = matching.gold_scores(*_sides(spark, folder), t.gold(spark, folder), t.STOPWORDS)
+    return rounded(scores.drop("times"), "score")
 
 
 @query
