@@ -54,8 +54,12 @@ def biggest_record(records: DataFrame, stopwords: Iterable[str] = ()) -> DataFra
 
 
 def term_frequencies(records: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
-    """``id``, ``token``, ``tf``: share of a record's tokens, per distinct token."""
-    listed = record_tokens(records, stopwords).select(
+    """``id``, ``token``, ``tf``: share of a record's tokens, per distinct token.
+
+    The records are placed by id before their tokens become rows, so the count needs no
+    shuffle of its own.
+    """
+    listed = record_tokens(records.repartition("id"), stopwords).select(
         "id", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("token"))
     counted = listed.groupBy("id", "n_tokens", "token").agg(F.count(F.lit(1)).alias("n"))
     return counted.select("id", "token", (F.col("n") / F.col("n_tokens")).alias("tf"))
@@ -71,7 +75,7 @@ def inverse_frequencies(records: DataFrame, stopwords: Iterable[str] = ()) -> Da
 
 def weights(frequencies: DataFrame, idf: DataFrame) -> DataFrame:
     """``id``, ``token``, ``weight``; tokens without an idf contribute nothing."""
-    return (frequencies.join(idf.select("token", "idf"), "token")
+    return (frequencies.join(idf.select("token", "idf").hint("shuffle_hash"), "token")
             .select("id", "token", (F.col("tf") * F.col("idf")).alias("weight")))
 
 

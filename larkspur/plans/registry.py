@@ -16,6 +16,7 @@ from larkspur.functions.text import (
 from larkspur.operators import counting, quality, ratings as rate, similarity as sim
 from larkspur.operators.lines import number_rows
 from larkspur.plans import matching, movies as film, tables as t, traffic, words
+from larkspur.session import stored
 from larkspur.sources import ratings as rating_source, records as record_source
 from larkspur.sources.lines import accepted, ingest_counts, rejected, rejected_sample
 
@@ -70,7 +71,7 @@ def value_digests(spark, folder):
 @query
 def line_count(spark, folder):
     lines = F.size(F.split("text", "\n"))
-    return t.table(spark, folder, "documents").agg(
+    return t.documents(spark, folder).agg(
         F.sum(lines).cast("bigint").alias("lines"))
 
 
@@ -575,7 +576,8 @@ def rating_split_sizes(spark, folder):
 
 
 def _parts(spark, folder) -> list[DataFrame]:
-    parts = t.rating_parts(spark, folder)
+    """Training, validation and test rows; written once, as each is read several times."""
+    parts = stored(t.rating_parts(spark, folder), "part")
     return [parts.filter(F.col("part") == i).drop("part") for i in range(3)]
 
 

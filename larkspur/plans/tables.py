@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.numbers import MONTH_NAMES
 from larkspur.operators.ratings import split_rows
-from larkspur.sources.lines import accepted
+from larkspur.sources.lines import accepted, spread
 from larkspur.sources.ratings import parse_movie_lines, parse_rating_lines
 from larkspur.sources.records import parse_match_lines, parse_product_lines
 from larkspur.sources.weblog import parse_log_lines
@@ -43,9 +43,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id``, ``line_no`` (from 0), ``value``"""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
 
 
@@ -61,7 +65,9 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     protocol = F.when(F.expr(WITHOUT_PROTOCOL), F.lit("")).otherwise(F.lit(" HTTP/1.0"))
     quote = F.when(F.expr(BROKEN), F.lit("")).otherwise(F.lit('"'))
     size = F.when(F.expr(f"{CODE} = 304"), F.lit("-")).otherwise(F.expr(BYTES).cast("string"))
-    return table(spark, folder, "events").select(F.concat(
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type",
+                                                   "value")
+    return spread(events).select(F.concat(
         F.expr(HOST), F.lit(" - - ["), time, F.lit(" -0400] "), quote, F.expr(METHOD),
         F.lit(" "), F.expr(ENDPOINT), protocol, F.lit('" '),
         F.expr(CODE).cast("string"), F.lit(" "), size).alias("value"))
@@ -99,7 +105,7 @@ def left_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def right_records(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return documents(spark, folder).select(F.col("doc_id").alias("id"), "text")
 
 
 def match_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARSED, HEADER = 1, 0
@@ -26,11 +26,46 @@ def read_lines(spark: SparkSession, path: str | list[str],
                partitions: int | None = None) -> DataFrame:
     """One row per line, column ``value``; ``.gz`` is decompressed by its extension.
 
-    Plain files are split by size. A compressed file is read by one task, so pass
-    ``partitions`` to spread the work after it.
+    Plain files are split by size. A compressed file is read by one task, so pass the
+    least number of ``partitions`` to spread the work after it.
     """
     lines = spark.read.text(path)
-    return lines if partitions is None else lines.repartition(partitions)
+    return lines if partitions is None else spread(lines, partitions)
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Give every core a share of a scan that has fewer partitions than there are cores,
+    as one small or unsplittable file has. A large scan comes back unchanged, without a
+    shuffle."""
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
+def captured(line: Column, pattern: str, groups: int) -> Column:
+    """The captured parts of a line as one array, from a single match; an array of
+    another size when the pattern does not fit. No part may be able to hold a line feed,
+    which separates them."""
+    joined = "\n".join(f"${i}" for i in range(1, groups + 1))
+    return F.split(F.regexp_replace(line, rf"(?d){pattern}[\s\S]*", joined), "\n")
+
+
+def with_parts(lines: DataFrame, parts: Column) -> DataFrame:
+    """``value`` and ``part``, the array of a line's parts, worked out once per line.
+
+    Exploding a one-element array keeps later filters from being pushed below this step,
+    which would work the parts out again for every field a filter looks at.
+    """
+    return lines.select("value", F.explode(F.array(parts)).alias("part"))
+
+
+def fits(groups: int) -> Column:
+    """Whether :func:`captured` found a match in a proper line."""
+    return (F.size("part") == groups) & ~F.contains("value", F.lit("\n"))
+
+
+def part(i: int) -> Column:
+    """The i-th captured part, counted from 1; NULL when there are fewer."""
+    return F.get("part", F.lit(i - 1))
 
 
 def read_words(spark: SparkSession, path: str) -> DataFrame:

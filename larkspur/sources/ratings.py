@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.sources.lines import PARSED
+from larkspur.sources.lines import PARSED, part, with_parts
 
 FAILED = 0
 FIELD_SEPARATOR = "::"
 
 
-def _field(i: int) -> Column:
-    return F.get(F.split("value", FIELD_SEPARATOR), F.lit(i))
+def _fields(lines: DataFrame) -> DataFrame:
+    return with_parts(lines, F.split("value", FIELD_SEPARATOR))
 
 
 def _with_status(df: DataFrame, *required: str) -> DataFrame:
@@ -24,14 +24,14 @@ def _with_status(df: DataFrame, *required: str) -> DataFrame:
 
 def parse_rating_lines(lines: DataFrame) -> DataFrame:
     """``user``, ``movie``, ``rating`` from user::movie::rating::time. Status 1 or 0."""
-    fields = lines.select("value", _field(0).try_cast("int").alias("user"),
-                          _field(1).try_cast("int").alias("movie"),
-                          _field(2).try_cast("double").alias("rating"))
+    fields = _fields(lines).select("value", part(1).try_cast("int").alias("user"),
+                                   part(2).try_cast("int").alias("movie"),
+                                   part(3).try_cast("double").alias("rating"))
     return _with_status(fields, "user", "movie", "rating")
 
 
 def parse_movie_lines(lines: DataFrame) -> DataFrame:
     """``movie``, ``title`` from movie::title::genres. Status 1 or 0."""
-    fields = lines.select("value", _field(0).try_cast("int").alias("movie"),
-                          _field(1).alias("title"))
+    fields = _fields(lines).select("value", part(1).try_cast("int").alias("movie"),
+                                   part(2).alias("title"))
     return _with_status(fields, "movie", "title")

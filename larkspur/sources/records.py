@@ -6,11 +6,11 @@ cut differently at embedded commas and quotes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import remove_quotes
-from larkspur.sources.lines import HEADER, PARSED
+from larkspur.sources.lines import HEADER, PARSED, captured, fits, part, with_parts
 
 FAILED = -1
 # Line shapes and the first field of each header line.
@@ -20,29 +20,24 @@ PRODUCT_HEADER = '"id"'
 MATCH_HEADER = '"idAmazon"'
 
 
-def _group(pattern: str, i: int) -> Column:
-    return F.regexp_extract("value", f"(?d){pattern}", i)
-
-
-def _status(first_field: Column, header: str) -> Column:
-    # The first field cannot be empty when the line fits.
-    return (F.when(first_field == "", F.lit(FAILED))
-            .when(first_field == header, F.lit(HEADER))
-            .otherwise(F.lit(PARSED)))
+def _parse(lines: DataFrame, pattern: str, groups: int, header: str) -> DataFrame:
+    parts = with_parts(lines, captured(F.col("value"), pattern, groups))
+    status = (F.when(~fits(groups), F.lit(FAILED))
+              .when(part(1) == header, F.lit(HEADER))
+              .otherwise(F.lit(PARSED)))
+    return parts.withColumn("status", status)
 
 
 def parse_product_lines(lines: DataFrame, header: str = PRODUCT_HEADER) -> DataFrame:
     """``id`` without quotes and ``product`` = title, description, manufacturer joined
     by blanks (their own quotes kept, price dropped). Status 1, 0 header, -1 failed."""
-    key = _group(PRODUCT_LINE, 1)
-    text = F.concat_ws(" ", *(_group(PRODUCT_LINE, i) for i in (2, 3, 4)))
-    return lines.select("value", _status(key, header).alias("status"),
-                        remove_quotes(key).alias("id"), text.alias("product"))
+    return _parse(lines, PRODUCT_LINE, 5, header).select(
+        "value", "status", remove_quotes(part(1)).alias("id"),
+        F.concat_ws(" ", part(2), part(3), part(4)).alias("product"))
 
 
 def parse_match_lines(lines: DataFrame, header: str = MATCH_HEADER) -> DataFrame:
     """Pairs of ids, cut at the last comma, quotes removed. Status as above."""
-    left, right = _group(MATCH_LINE, 1), _group(MATCH_LINE, 2)
-    return lines.select("value", _status(left, header).alias("status"),
-                        remove_quotes(left).alias("left_id"),
-                        remove_quotes(right).alias("right_id"))
+    return _parse(lines, MATCH_LINE, 2, header).select(
+        "value", "status", remove_quotes(part(1)).alias("left_id"),
+        remove_quotes(part(2)).alias("right_id"))

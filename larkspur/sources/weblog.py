@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.numbers import log_time
+from larkspur.sources.lines import captured, fits, part, with_parts
 
 # The shape of a log line. The first form demands a third request field,
 # the second takes any request, which is then cut at its blanks.
@@ -14,15 +15,6 @@ _CODE_AND_SIZE = r' (\d{3}) (\S+)'
 STRICT_LINE = _CLIENT_AND_TIME + r'"(\S+) (\S*) (\S* *)"' + _CODE_AND_SIZE
 ANY_REQUEST_LINE = _CLIENT_AND_TIME + r'"(\S+) ([ \S]*)"' + _CODE_AND_SIZE
 
-# No captured part of a line can hold a line feed, so it separates them safely.
-_SEPARATOR = "\n"
-
-
-def _captured(line: Column, pattern: str, groups: int) -> Column:
-    """All captured parts as one array from a single match, or one element if none."""
-    joined = _SEPARATOR.join(f"${i}" for i in range(1, groups + 1))
-    return F.split(F.regexp_replace(line, rf"(?d){pattern}[\s\S]*", joined), _SEPARATOR)
-
 
 def parse_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Add the log fields to text lines; ``status`` is 1 when parsed and 0 when not.
@@ -32,14 +24,7 @@ def parse_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     """
     groups = 9 if strict else 8
     pattern = STRICT_LINE if strict else ANY_REQUEST_LINE
-    # Exploding a one-element array keeps later filters from being pushed below the match,
-    # which would run the pattern again for every field the filter looks at.
-    parts = lines.select(
-        "value", F.explode(F.array(_captured(F.col("value"), pattern, groups))).alias("part"))
-
-    def part(i: int) -> Column:
-        return F.get("part", F.lit(i - 1))
-
+    parts = with_parts(lines, captured(F.col("value"), pattern, groups))
     if strict:
         endpoint, protocol = part(6), F.rtrim(part(7))
     else:
@@ -49,7 +34,7 @@ def parse_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     size = F.when(part(groups) == "-", F.lit(0)).otherwise(part(groups).try_cast("bigint"))
     fields = parts.select(
         "value",
-        F.size("part").alias("found"),
+        fits(groups).alias("fits"),
         part(1).alias("host"),
         part(2).alias("client_identd"),
         part(3).alias("user_id"),
@@ -59,8 +44,8 @@ def parse_log_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
         F.nullif(protocol, F.lit("")).alias("protocol"),
         part(groups - 1).try_cast("int").alias("response_code"),
         size.alias("content_size"))
-    parsed = ((F.col("found") == groups) & ~F.contains("value", F.lit(_SEPARATOR))
-              & F.col("date_time").isNotNull() & F.col("content_size").isNotNull())
+    parsed = (F.col("fits") & F.col("date_time").isNotNull()
+              & F.col("content_size").isNotNull())
     return (fields
             .withColumn("status", F.coalesce(parsed, F.lit(False)).cast("int"))
-            .drop("found"))
+            .drop("fits"))
