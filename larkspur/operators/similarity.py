@@ -85,6 +85,12 @@ def norms(weighted: DataFrame) -> DataFrame:
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
 
 
+def vector_maps(weighted: DataFrame) -> DataFrame:
+    """``id``, ``vector``: each record's weights as one map, at most a text's tokens long."""
+    entries = F.collect_list(F.struct("token", "weight"))
+    return weighted.groupBy("id").agg(F.map_from_entries(entries).alias("vector"))
+
+
 def postings(weighted: DataFrame) -> DataFrame:
     """The inverted index as (token, id) rows."""
     return weighted.select("token", "id")

@@ -153,7 +153,9 @@ SELECT '"' || p_partkey || '",' || p_name || ', size ' || p_size || ',' || p_typ
 
 GOLD = """gold AS (
   SELECT DISTINCT l.id AS left_id, d.id AS right_id
-  FROM (SELECT item_id AS id, unnest(string_split(text, chr(10))) AS line FROM benchmark) l
+  FROM (SELECT line, min(id) AS id FROM (
+          SELECT item_id AS id, unnest(string_split(text, chr(10))) AS line FROM benchmark)
+        GROUP BY line) l
   JOIN (SELECT doc_id AS id, unnest(string_split(text, chr(10))) AS line FROM documents) d
     ON l.line = d.line WHERE l.line <> '')"""
 SQL["gold_ingest"] = _with(GOLD) + """
@@ -217,6 +219,9 @@ SQL["tfidf_weights"] = TOKEN_SQL + (
 SQL["vector_norms"] = TOKEN_SQL + """
 SELECT id, round(sqrt(sum(weight * weight)), 6) AS norm FROM weights WHERE side = 'right'
 GROUP BY id"""
+SQL["vector_maps"] = TOKEN_SQL + """
+SELECT id, CAST(count(*) AS INTEGER) AS tokens, round(sqrt(sum(weight * weight)), 6) AS norm
+FROM weights WHERE side = 'right' GROUP BY id"""
 SQL["posting_counts"] = TOKEN_SQL + (
     "SELECT token, count(*) AS n FROM weights WHERE side = 'right' GROUP BY token")
 

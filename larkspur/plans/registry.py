@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.functions import vectors
 from larkspur.functions.numbers import log_of_square
 from larkspur.functions.text import (
     clean_text, numbered_line, pluralise, remove_quotes, sha1_of, text_sort_key, tokens)
@@ -383,6 +384,13 @@ def vector_norms(spark, folder):
     return rounded(sim.norms(_weights(spark, folder)), "norm")
 
 
+@query
+def vector_maps(spark, folder):
+    """Number of tokens and norm of every vector, worked out on its map."""
+    return rounded(sim.vector_maps(_weights(spark, folder)).select(
+        "id", F.size("vector").alias("tokens"), vectors.norm(F.col("vector")).alias("norm")), "norm")
+
+
 @query
 def posting_counts(spark, folder):
     """Length of every posting list of the inverted index."""
@@ -408,8 +416,8 @@ def inverted_similarity(spark, folder):
 @query
 def inverted_similarity_records(spark, folder):
     """The same for single records, from a tenth upwards."""
-    vectors = _vectors(spark, folder)
-    return rounded(sim.expand_copies(sim.similar_pairs(vectors, 0.1), vectors), "score")
+    both = _vectors(spark, folder)
+    return rounded(sim.expand_copies(sim.similar_pairs(both, 0.1), both), "score")
 
 
 @query

@@ -109,14 +109,15 @@ def right_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def match_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Known matches, taken to be records with a whole line in common, as CSV lines."""
-    def lines_of(records: DataFrame, name: str) -> DataFrame:
-        return records.select(F.col("id").alias(name),
-                              F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
-
-    shared = (lines_of(left_records(spark, folder), "l")
-              .join(lines_of(right_records(spark, folder), "r"), "line")
-              .select("l", "r").distinct())
+    """Known matches as CSV lines: a document matches the first passage that has one of
+    its lines. A line belongs to one passage, so a common line adds one row per document."""
+    def lines_of(records: DataFrame) -> DataFrame:
+        return records.select("id", F.explode(F.split("text", "\n")).alias("line")
+                              ).filter("line <> ''")
+
+    passages = lines_of(left_records(spark, folder)).groupBy("line").agg(F.min("id").alias("l"))
+    shared = (lines_of(right_records(spark, folder)).join(passages, "line")
+              .select("l", F.col("id").alias("r")).distinct())
     lines = shared.select(F.format_string('"%d","%d"', "l", "r").alias("value"))
     return _with_header(lines, '"idAmazon","idGoogleBase"')
 

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from larkspur.functions import numbers, text
+from larkspur.functions import numbers, text, vectors
 
 STOP = ["a", "the", "why", "being", "at", "over"]
 
@@ -105,3 +105,14 @@ def test_log_time_does_not_follow_the_session_zone(spark):
             datetime.datetime(2024, 3, 31, 2, 30)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_map_vectors(spark):
+    rows = [({"foo": 2., "bar": 3., "baz": 5.}, {"foo": 1., "bar": 0., "baz": 20.}),
+            ({"x": 1.}, {"y": 1.}), ({"x": 1.}, {})]
+    df = spark.createDataFrame(rows, "a map<string,double>, b map<string,double>")
+    a, b = F.col("a"), F.col("b")
+    got = [tuple(r) for r in df.select(vectors.dot_product(a, b), vectors.norm(a),
+                                       vectors.cosine(a, b)).collect()]
+    assert got[0] == (102.0, math.sqrt(38), 102 / (math.sqrt(38) * math.sqrt(401)))
+    assert got[1] == (0.0, 1.0, 0.0) and got[2] == (0.0, 1.0, None)

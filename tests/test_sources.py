@@ -4,7 +4,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.sources import lines as source
+from larkspur.sources import datasets, lines as source
 from larkspur.sources.ratings import parse_movie_lines, parse_rating_lines
 from larkspur.sources.records import FAILED, parse_match_lines, parse_product_lines
 from larkspur.sources.weblog import parse_log_lines
@@ -98,6 +98,27 @@ def test_rating_and_movie_files(spark, tmp_path):
     assert [tuple(r) for r in movies.collect()] == [(10, "Toy Story (1995)")]
 
 
+def test_named_datasets(spark, tmp_path):
+    (tmp_path / "log").write_text(PREFIX + '"GET /x HTTP/1.0" 200 1\nbroken\n')
+    (tmp_path / "products.csv").write_text(
+        '"id","title",description,manufacturer,price\n"b1","t",d,m,1\n')
+    (tmp_path / "matches.csv").write_text('"idAmazon","idGoogleBase"\n"b1","u1"\n')
+    (tmp_path / "movies.dat").write_text("1::Heat (1995)::Action\n")
+    with gzip.open(tmp_path / "ratings.gz", "wt") as f:
+        f.write("1::1::5::0\n")
+    log = datasets.load_log(spark, str(tmp_path / "log"))
+    assert source.accepted(log).count() == 1 and source.rejected(log, 0).first().value == "broken"
+    assert tuple(datasets.load_products(spark, str(tmp_path / "products.csv")).first()) == (
+        "b1", "t d m")
+    assert tuple(datasets.load_matches(spark, str(tmp_path / "matches.csv")).first()) == (
+        "b1", "u1")
+    assert tuple(datasets.load_ratings(spark, str(tmp_path / "ratings.gz"), 2).first()) == (
+        1, 1, 5.0)
+    assert datasets.load_movies(spark, str(tmp_path / "movies.dat")).first().title == "Heat (1995)"
+    with pytest.raises(ValueError):
+        datasets.load_matches(spark, str(tmp_path / "log"))
+
+
 def test_word_list_range_and_literals(spark, tmp_path):
     (tmp_path / "stop.txt").write_text("a\nthe\na\n")
     assert sorted(r.word for r in source.read_words(spark, str(tmp_path / "stop.txt")).collect()
