@@ -11,6 +11,8 @@ from larkspur.session import stable
 
 # monotonically_increasing_id keeps the position inside a partition in its low 33 bits.
 POSITION_BITS = 33
+# Block offsets are sent to every task up to this many rows, and joined by shuffle beyond.
+MOST_BROADCAST_ROWS = 500_000
 
 
 def _offsets(counts: DataFrame, order: Sequence[str], name: str = "offset") -> DataFrame:
@@ -44,7 +46,8 @@ def number_text_lines(lines: DataFrame, name: str = "index") -> DataFrame:
 
     ``lines`` is the direct output of ``spark.read.text``. Lines of one file block are
     read by one task in order, so a block's offset plus the position in the block is
-    enough: one counting pass, one numbering pass, no shuffle of the text.
+    enough: one counting pass and one numbering pass. The text is not shuffled as long as
+    there are at most ``MOST_BROADCAST_ROWS`` blocks (of 128 MB: 64 TB).
     """
     placed = lines.select(
         "value",
@@ -53,6 +56,8 @@ def number_text_lines(lines: DataFrame, name: str = "index") -> DataFrame:
         F.monotonically_increasing_id().alias("_row"))
     blocks = placed.groupBy("_file", "_start").agg(
         F.count(F.lit(1)).alias("rows"), F.min("_row").alias("_first"))
-    offsets = _offsets(blocks, ["_file", "_start"]).drop("rows")
+    offsets = stable(_offsets(blocks, ["_file", "_start"]).drop("rows"))
+    if offsets.count() <= MOST_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     return (placed.join(offsets, ["_file", "_start"])
             .select((F.col("offset") + F.col("_row") - F.col("_first")).alias(name), "value"))

@@ -57,11 +57,12 @@ def term_frequencies(records: DataFrame, stopwords: Iterable[str] = ()) -> DataF
     """``id``, ``token``, ``tf``: share of a record's tokens, per distinct token.
 
     The records are placed by id before their tokens become rows, so the count needs no
-    shuffle of its own.
+    shuffle of its own. The outer explode keeps Spark from looking for empty token lists
+    ahead of the shuffle, where it would cut every text into tokens a second time.
     """
     listed = record_tokens(records.repartition("id"), stopwords).select(
-        "id", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("token"))
-    counted = listed.groupBy("id", "n_tokens", "token").agg(F.count(F.lit(1)).alias("n"))
+        "id", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("token"))
+    counted = listed.filter(F.col("token").isNotNull()).groupBy("id", "n_tokens", "token").agg(F.count(F.lit(1)).alias("n"))
     return counted.select("id", "token", (F.col("n") / F.col("n_tokens")).alias("tf"))
 
 
@@ -136,7 +137,7 @@ class Vectors:
 
 
 def _keyed(records: DataFrame) -> DataFrame:
-    return records.select("id", "text", F.sha2("text", 256).alias("text_key"))
+    return records.select("id", "text", F.unhex(F.sha2("text", 256)).alias("text_key"))
 
 
 def record_ids(records: DataFrame) -> DataFrame:
@@ -180,6 +181,8 @@ def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] =
         F.count_if(F.col("side") == "left").alias("left_df"),
         F.count_if(F.col("side") == "right").alias("right_df"))
     # One idf row per token: each task's share fits a hash table, and nothing is sorted.
+    # A token has at most one row per distinct text, so even one found everywhere is a
+    # small part of all rows; adaptive execution splits its partition if it is large.
     weighted = frequencies.join(idf.hint("shuffle_hash"), "token").withColumn(
         "weight", F.col("tf") * (n_records / F.col("df")))
 

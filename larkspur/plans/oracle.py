@@ -253,8 +253,11 @@ SQL["pair_similarity"] = MATCHING + "," + ASSIGNED + (
 SQL["pair_lookup"] = MATCHING + "," + ASSIGNED + """
 SELECT round(score, 6) AS score FROM assigned_scores WHERE left_id = 0 AND right_id = 0"""
 SQL["text_pair_similarity"] = MATCHING + """
-SELECT g.left_id || ' ' || g.right_id AS key, round(score, 6) AS score
-FROM gold g LEFT JOIN scores s USING (left_id, right_id)"""
+SELECT g.left_id || ' ' || g.right_id AS key, round(CASE
+    WHEN g.left_id IN (SELECT id FROM units WHERE side = 'left')
+     AND g.right_id IN (SELECT id FROM units WHERE side = 'right') THEN coalesce(score, 0) END, 6)
+  AS score
+FROM gold g LEFT JOIN scores s ON s.left_id = g.left_id AND s.right_id = g.right_id"""
 SQL["gold_scores"] = MATCHING + "," + GOLD_SCORES + (
     "SELECT left_id, right_id, round(score, 6) AS score FROM gold_scores")
 SQL["dup_similarity_avg"] = MATCHING + "," + GOLD_SCORES + f"""

@@ -22,10 +22,10 @@ def words_of(cleaned: DataFrame, column: str = "value", keep_empty: bool = False
 
 def word_totals(cleaned: DataFrame, column: str = "value") -> DataFrame:
     """Number of pieces with and without the empty ones, without making them rows."""
-    pieces = split_on_blank(F.col(column))
-    return cleaned.agg(
-        F.sum(F.size(pieces)).cast("bigint").alias("pieces"),
-        F.sum(F.size(F.filter(pieces, lambda w: w != ""))).cast("bigint").alias("words"))
+    split = cleaned.select(split_on_blank(F.col(column)).alias("pieces"))
+    return split.agg(
+        F.sum(F.size("pieces")).cast("bigint").alias("pieces"),
+        F.sum(F.size(F.filter("pieces", lambda w: w != ""))).cast("bigint").alias("words"))
 
 
 def top_words(lines: DataFrame, k: int = 15, column: str = "value") -> DataFrame:
