@@ -264,7 +264,7 @@ SQL["dup_similarity_avg"] = MATCHING + "," + GOLD_SCORES + f"""
 SELECT TRUE AS is_match, count(*) AS pairs, round(avg(score), 6) AS mean_score FROM gold_scores
 UNION ALL
 SELECT FALSE, {ALL_PAIRS} - (SELECT count(*) FROM gold_scores),
-  round(((SELECT sum(score) FROM scores) - (SELECT sum(score) FROM gold_scores))
+  round(((SELECT sum(score) FROM scores) - (SELECT coalesce(sum(score), 0) FROM gold_scores))
         / ({ALL_PAIRS} - (SELECT count(*) FROM gold_scores)), 6)"""
 HISTOGRAM = """histogram AS (SELECT bin, CAST(sum(n) AS BIGINT) AS n FROM (
     SELECT CAST(trunc(score * 100) AS INTEGER) AS bin, 1 AS n FROM scores
