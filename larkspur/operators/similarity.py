@@ -120,13 +120,15 @@ def text_pair_scores(pairs: DataFrame, idf: DataFrame,
 
 @dataclass(frozen=True)
 class Vectors:
-    """Unit vectors of two record sets over their joint vocabulary.
+    """Unit vectors of two record sets, as far as their tokens occur on both sides.
 
     ``left``/``right``: ``id``, ``copies``, ``token``, ``unit``, ``tail``, ``left_df``,
     ``right_df``. ``unit`` is the weight divided by the vector's norm; ``tail`` is the
     length of the part of the vector from this token on, most frequent token last;
     the two counts say how many distinct vectors of each side hold the token.
 
+    Norms and tails cover all tokens of a record.
+
     ``left_ids``/``right_ids``: ``id``, ``vector_id`` for every record.
     """
 
@@ -193,7 +195,8 @@ def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] =
     so_far = rare_last.rowsBetween(Window.unboundedPreceding, 0)
     lengths = (weighted.withColumn("norm", F.sqrt(F.sum(square).over(whole)))
                .withColumn("up_to", F.sqrt(F.sum(square).over(so_far))))
-    vectors = stored(lengths.select(
+    # Norms and tails are done: tokens that only one side has cannot meet any more.
+    vectors = stored(lengths.filter("left_df > 0 AND right_df > 0").select(
         "side", "id", "copies", "token", (F.col("weight") / F.col("norm")).alias("unit"),
         (F.col("up_to") / F.col("norm")).alias("tail"), "left_df", "right_df"), "side")
     return Vectors(vectors.filter("side = 'left'").drop("side"),
@@ -216,10 +219,10 @@ def _blocks(vectors: DataFrame, side: str) -> DataFrame:
 
 def _meeting(left: DataFrame, right: DataFrame) -> DataFrame:
     """Token join of two sides, block by block: ``left_id``, ``right_id``, ``product``."""
-    a = _blocks(left.filter("right_df > 0"), "left").select(
+    a = _blocks(left, "left").select(
         "token", "left_block", "right_block", F.col("id").alias("left_id"),
         F.col("copies").alias("left_copies"), F.col("unit").alias("left_unit"))
-    b = _blocks(right.filter("left_df > 0"), "right").select(
+    b = _blocks(right, "right").select(
         "token", "left_block", "right_block", F.col("id").alias("right_id"),
         F.col("copies").alias("right_copies"), F.col("unit").alias("right_unit"))
     return a.join(b, ["token", "left_block", "right_block"]).select(
@@ -319,8 +322,8 @@ def all_pairs_summary(vectors: Vectors, left: DataFrame, right: DataFrame) -> Da
     def side(df: DataFrame, tag: str) -> DataFrame:
         return df.groupBy("token").agg(F.sum(F.col("copies") * F.col("unit")).alias(tag))
 
-    total = (side(vectors.left.filter("right_df > 0"), "a")
-             .join(side(vectors.right.filter("left_df > 0"), "b"), "token")
+    total = (side(vectors.left, "a")
+             .join(side(vectors.right, "b"), "token")
              .agg(F.coalesce(F.sum(F.col("a") * F.col("b")), F.lit(0.0)).alias("sum_score")))
     counted = total.withColumn("pairs", total_rows(left) * total_rows(right))
     return counted.select("pairs", "sum_score",
@@ -336,8 +339,8 @@ def candidate_count(vectors: Vectors) -> DataFrame:
     instead of one row. Copies on the right are counted by splitting their number into
     powers of two, each with its own bitmap.
     """
-    right = vectors.right.filter("left_df > 0")
-    left = vectors.left.filter("right_df > 0").select("id", "copies", "token", "right_df")
+    right = vectors.right
+    left = vectors.left.select("id", "copies", "token", "right_df")
     members = right.select("id").distinct()
     slices = F.greatest(F.ceil(total_rows(members) / SLICE), F.lit(1))
     sliced = members.withColumn("part", F.pmod(F.xxhash64("id"), slices))

@@ -240,8 +240,6 @@ SQL["inverted_similarity"] = MATCHING + "," + COPIES + """
 SELECT left_id, right_id, round(score, 6) AS score, l.n AS left_copies, r.n AS right_copies
 FROM scores JOIN left_copies l ON l.id = left_id JOIN right_copies r ON r.id = right_id
 WHERE score >= 0.01"""
-SQL["inverted_similarity_records"] = MATCHING + """
-SELECT left_id, right_id, round(score, 6) AS score FROM scores WHERE score >= 0.1"""
 SQL["record_copies"] = """
 SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY text) AS vector_id FROM documents"""
 SQL["candidate_pairs"] = MATCHING + "SELECT count(*) AS candidate_pairs FROM scores"

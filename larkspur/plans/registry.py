@@ -413,13 +413,6 @@ def inverted_similarity(spark, folder):
     return rounded(sim.similar_pairs(_vectors(spark, folder), 0.01), "score")
 
 
-@query
-def inverted_similarity_records(spark, folder):
-    """The same for single records, from a tenth upwards."""
-    both = _vectors(spark, folder)
-    return rounded(sim.expand_copies(sim.similar_pairs(both, 0.1), both), "score")
-
-
 @query
 def record_copies(spark, folder):
     """Which vector stands for which record."""
