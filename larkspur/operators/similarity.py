@@ -198,7 +198,7 @@ def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] =
     # Norms and tails are done: tokens that only one side has cannot meet any more.
     vectors = stored(lengths.filter("left_df > 0 AND right_df > 0").select(
         "side", "id", "copies", "token", (F.col("weight") / F.col("norm")).alias("unit"),
-        (F.col("up_to") / F.col("norm")).alias("tail"), "left_df", "right_df"), "side")
+        (F.col("up_to") / F.col("norm")).alias("tail"), "left_df", "right_df"))
     return Vectors(vectors.filter("side = 'left'").drop("side"),
                    vectors.filter("side = 'right'").drop("side"),
                    record_ids(left), record_ids(right))

@@ -578,7 +578,7 @@ def rating_split_sizes(spark, folder):
 
 def _parts(spark, folder) -> list[DataFrame]:
     """Training, validation and test rows; written once, as each is read several times."""
-    parts = stored(t.rating_parts(spark, folder), "part")
+    parts = stored(t.rating_parts(spark, folder))
     return [parts.filter(F.col("part") == i).drop("part") for i in range(3)]
 
 

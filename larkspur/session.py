@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,18 +31,12 @@ def build_session(app_name: str = "larkspur", master: str | None = None,
     return builder.getOrCreate()
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; in local mode a new
-    temporary one if none is named."""
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names in ``spark.checkpoint.dir``, if it names one."""
     context = spark.sparkContext
     folder = (context.getCheckpointDir() or context.getConf().get(CHECKPOINT_DIR)
               or spark.conf.get(CHECKPOINT_DIR, None))
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="larkspur-")
-    if not context.getCheckpointDir():
+    if folder and not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
@@ -52,20 +45,25 @@ def stable(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder, keeping partitions and row order.
 
     Used where row positions must not change if an executor is lost and its tasks run
-    again.
+    again. Without a shared folder the frame is persisted: a lost block is computed again
+    from the same plan with the same range bounds, so under a unique order the rows come
+    back in the same places.
     """
-    _shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=True) if shared_folder(df.sparkSession) else df.persist()
 
 
-def stored(df: DataFrame, *partition_by: str) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it from there.
 
     Used where several later steps read the same rows: each reads only its columns and
     row groups, and join strategies are chosen from the real size of the files. The
-    table belongs to the run; whoever owns the folder decides when to empty it.
+    table belongs to the run; whoever owns the folder decides when to empty it. Without a
+    shared folder the frame is persisted.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    folder = shared_folder(spark)
+    if not folder:
+        return df.persist()
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
