@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import packing, sharding
+from larkspur.llm import line_dedup, packing, sharding, simhash
 from larkspur.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,37 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_digest(table(spark, folder, "documents"))
 
 
+@_query
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_digest(table(spark, folder, "documents"))
+
+
+SQL["op7_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, i, line,
+         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(range(len(parts))) AS i, unnest(parts) AS line
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts
+              FROM documents))),
+repeats AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS dropped
+  FROM lines LEFT JOIN repeats USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), ''))
+         AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
