@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import line_dedup, packing, sharding, simhash
+from larkspur.llm import line_dedup, packing, sharding, simhash, warc
 from larkspur.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,25 @@ FROM marked GROUP BY doc_id
 """
 
 
+@_query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.record_digest(spark, table(spark, folder, "pages"))
+
+
+SQL["op8_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+kept AS (SELECT payload, max(page_id) AS response FROM payloads GROUP BY payload)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT)
+               >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM payloads JOIN kept USING (payload)
+"""
+
+
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
