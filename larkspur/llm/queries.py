@@ -65,7 +65,7 @@ WITH payloads AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
 kept AS (SELECT payload, max(page_id) AS response FROM payloads GROUP BY payload)
 SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + ((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT)
                >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
        CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
