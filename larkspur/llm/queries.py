@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import line_dedup, packing, sharding, simhash, warc
+from larkspur.llm import line_dedup, packing, quality_rules, sharding, simhash, warc
 from larkspur.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,59 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@_query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_digest(table(spark, folder, "documents"))
+
+
+SQL["op6_quality_rules"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, unnest(range(len(w) - 7)) AS i, w FROM docs WHERE len(w) >= 8),
+grams AS (SELECT r, i, array_to_string(w[i + 1:i + 8], ' ') AS gram FROM windows),
+twice AS (SELECT r, i FROM grams
+          QUALIFY count(*) OVER (PARTITION BY r, gram) > 1),
+covered AS (
+  SELECT r, count(DISTINCT i + j) AS n_repeat_words
+  FROM twice, (SELECT unnest(range(8)) AS j) GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n_lines,
+         sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') AND nth > 1 THEN 1 ELSE 0 END)
+           AS n_dup_lines
+  FROM (SELECT r, line, row_number() OVER (PARTITION BY r, line) AS nth
+        FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)) GROUP BY r),
+measured AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines
+  FROM docs JOIN lines USING (r) LEFT JOIN covered USING (r)),
+failures AS (
+  SELECT *, [n_words < 20, 100 * n_repeat_words > 30 * n_words, 10 * n_symbols > 3 * n_words,
+             n_dup_lines > 3 AND 2 * n_dup_lines > n_lines] AS f FROM measured),
+hosts AS (
+  SELECT source, unnest(range(4)) AS k, count(*) AS n,
+         unnest([sum(CAST(f[1] AS INT)), sum(CAST(f[2] AS INT)), sum(CAST(f[3] AS INT)),
+                 sum(CAST(f[4] AS INT))]) AS bad
+  FROM failures GROUP BY source),
+moments AS (
+  SELECT k, sum(bad) / sum(n) AS m, var_pop(bad / n) - sum(bad) / sum(n) * (1 - sum(bad) / sum(n))
+         * avg(1 / n) AS v FROM hosts GROUP BY k),
+weights AS (
+  SELECT k, m, greatest(CASE WHEN v > m * (1 - m) / 1001 THEN m * (1 - m) / v - 1
+                             ELSE 1000 END, 1) AS a FROM moments),
+verdicts AS (
+  SELECT source, max((bad + m * a) / (n + a)) > 0.6 AS host_failed
+  FROM hosts JOIN weights USING (k) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       f[1] OR f[2] AS base_failed, NOT (f[1] OR f[2]) AND NOT host_failed AS kept, host_failed
+FROM failures JOIN verdicts ON failures.source IS NOT DISTINCT FROM verdicts.source
+"""
+
+
 @_query
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, folder, "documents"))
