@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import line_dedup, packing, quality_rules, sharding, simhash, warc
+from larkspur.llm import (
+    licenses,
+    line_dedup,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    warc,
+)
 from larkspur.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +135,11 @@ FROM payloads JOIN kept USING (payload)
 """
 
 
+@_query
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_digest(table(spark, folder, "documents"))
+
+
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
