@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larkspur.llm import (
+    language,
     licenses,
     line_dedup,
     packing,
@@ -27,6 +28,11 @@ def _query(function):
     return function
 
 
+@_query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_digest(table(spark, folder, "documents"))
+
+
 @_query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_digest(table(spark, folder, "documents"))
