@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,7 @@ from larkspur.llm import (
     line_dedup,
     packing,
     quality_rules,
+    secret_scan,
     sharding,
     simhash,
     warc,
@@ -23,9 +26,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+#: Python workers import this package from where the driver has it.
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def _query(function):
-    QUERIES[function.__name__] = function
-    return function
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        paths = spark.sparkContext.environment
+        if _ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+            paths["PYTHONPATH"] = os.pathsep.join(
+                filter(None, [_ROOT, paths.get("PYTHONPATH", "")]))
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
+
+
+@_query
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_digest(table(spark, folder, "documents"))
 
 
 @_query
