@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from larkspur.llm import (
+    decontaminate,
     language,
     licenses,
     line_dedup,
@@ -47,6 +48,12 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, folder, "documents"))
 
 
+@_query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @_query
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_digest(table(spark, folder, "documents"))
