@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,23 +18,16 @@ from larkspur.llm import (
     simhash,
     warc,
 )
-from larkspur.llm.common import table
+from larkspur.llm.common import share_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL by query.
 SQL: dict[str, str] = {}
 
 
-#: Python workers import this package from where the driver has it.
-_ROOT = str(Path(__file__).resolve().parents[2])
-
-
 def _query(function):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        paths = spark.sparkContext.environment
-        if _ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
-            paths["PYTHONPATH"] = os.pathsep.join(
-                filter(None, [_ROOT, paths.get("PYTHONPATH", "")]))
+        share_package(spark)
         return function(spark, folder)
 
     QUERIES[function.__name__] = run
