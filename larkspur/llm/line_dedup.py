@@ -119,6 +119,8 @@ class PackedFilters:
 
 
 def _by_slice(hashes: np.ndarray, slices: int) -> Iterator[tuple[int, bytes]]:
+    if not len(hashes):
+        return
     own = _slice_of(hashes, slices)
     order = np.argsort(own, kind="stable")
     starts = np.flatnonzero(np.diff(own[order], prepend=-1))

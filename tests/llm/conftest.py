@@ -1,5 +1,6 @@
 import pytest
 from larkspur.llm.common import share_package
+from llm_data import ODD
 
 
 @pytest.fixture(autouse=True, scope="session")
@@ -9,21 +10,15 @@ def workers_find_the_package(spark):
 
 @pytest.fixture
 def docs(spark):
-    """Documents from (doc_id, text) pairs, with other columns whose names clash with helpers."""
+    """Documents from (doc_id, text) pairs, with the other columns of the table."""
     def make(rows, partitions=3):
         return spark.createDataFrame(
             [(i, t, "en" if (i or 0) % 2 else None, f"src{(i or 0) % 3}", 5) for i, t in rows],
             "doc_id long, text string, lang string, source string, n_chars long",
-        ).withColumnsRenamed({}).repartition(partitions)
+        ).repartition(partitions)
     return make
 
 
-#: Texts that operators have to survive: null, empty, blank, no letter, one word, odd characters.
-ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "12 345 !!"), (5, "word"), (6, "a\x00b ﬀ İ ſ K 😀"),
-       (7, "same text here"), (7, "same text here"), (8, "same text here"), (None, "no key at all"),
-       (None, None), (9, "x" * 5000 + " y" * 3000)]
-
-
 @pytest.fixture
 def odd(docs):
     return docs(ODD)

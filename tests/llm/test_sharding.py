@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from larkspur.llm.sharding import (assign_shards, permuted, place, row_number, shard_digest,
                                    shard_documents)
+from llm_data import ODD
 
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 7, 64, 1000, 4097])
@@ -29,7 +30,6 @@ def check_places(rows, shards):
 
 
 def test_digest(docs, odd):
-    from tests_llm_data import ODD
     rows = shard_digest(odd).collect()
     assert len(rows) == len(ODD)
     check_places(rows, 24)
@@ -54,7 +54,6 @@ def test_one_hot_row(docs):
 
 
 def test_documents_keep_their_columns(odd):
-    from tests_llm_data import ODD
     placed = shard_documents(odd, 4)
     assert placed.columns == [*odd.columns, "shard", "slot"]
     rows = placed.collect()
