@@ -55,6 +55,20 @@ def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return condition
 
 
+def hash_bounds(rows: DataFrame, group: str, hashed: str, most: int) -> dict[object, int]:
+    """Per group (few of them), a bound for a 64-bit hash that about ``1.25 * most`` of the
+    group's distinct hashes do not exceed, or all where there are fewer.
+
+    Hashes are uniform, so the bound follows from how many there are; that count is a small
+    sketch per task, and no group's rows meet in one task. A margin of a quarter is five times
+    the sketch's usual error. The bound does not depend on partitions or order.
+    """
+    counts = rows.groupBy(group).agg(F.approx_count_distinct(hashed, 0.05).alias("n")).collect()
+    top = 1 << 63
+    return {r[0]: min(top - 1, int((1 << 64) * 1.25 * most / max(1, r["n"])) - top)
+            for r in counts}
+
+
 def numbered(rows: DataFrame, key: Sequence[str], groups: Sequence[str] = (),
              name: str = "number", buckets: int = 4096) -> DataFrame:
     """Number rows from 0 without gaps, within each group; a function of the rows alone.

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import whole_text
+from larkspur.llm.common import hash_bounds, whole_text
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
@@ -132,11 +132,8 @@ def labelled_sample(labelled: DataFrame, text: str, lang: str, rows: int = ROWS_
     smallest hashes. Equal texts of one language have one hash and count once or a few times."""
     hashed = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    # The hashes alone choose the rows: a limit within each task, then over all.
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = (hashed.select("lang", "h").withColumn("n", F.row_number().over(order))
-              .filter(F.col("n") <= rows).groupBy("lang").agg(F.max("h").alias("most")))
-    limits = {r["lang"]: r["most"] for r in chosen.collect()}
+    # The hashes alone choose the rows: first a bound for each language, then the exact number.
+    limits = hash_bounds(hashed, "lang", "h", rows)
     if not limits:
         return []
     condition = F.lit(False)
@@ -144,20 +141,29 @@ def labelled_sample(labelled: DataFrame, text: str, lang: str, rows: int = ROWS_
         condition = condition | ((F.col("lang") == name) & (F.col("h") <= most))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # as many as the sample has, whatever the number of copies
         for batch in batches:
-            numbers, counts = [], []
-            for value in batch.column(2):
-                found = features(value.as_py())
-                numbers.append(np.flatnonzero(found).astype(np.int32))
-                counts.append(found[numbers[-1]])
+            kept, numbers, counts = [], [], []
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for i, key in enumerate(keys):
+                if key not in seen:
+                    seen.add(key)
+                    found = features(batch.column(2)[i].as_py())
+                    kept.append(i)
+                    numbers.append(np.flatnonzero(found).astype(np.int32))
+                    counts.append(found[numbers[-1]])
+            own = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(numbers, pa.list_(pa.int32())),
+                [batch.column(0).take(own), batch.column(1).take(own),
+                 pa.array(numbers, pa.list_(pa.int32())),
                  pa.array(counts, pa.list_(pa.int64()))], ["lang", "h", "numbers", "counts"])
 
     sample = (hashed.filter(condition).select("lang", "h", "text")
               .mapInArrow(count, "lang string, h long, numbers array<int>, counts array<long>")
               # Copies of a text share its hash.
-              .dropDuplicates(["lang", "h"]).orderBy("h", "lang").limit(rows * len(limits)))
+              .dropDuplicates(["lang", "h"])
+              .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+              .filter(F.col("n") <= rows).drop("n").orderBy("h", "lang"))
     return [(r["lang"], np.array(r["numbers"], dtype=np.int64), np.array(r["counts"], dtype=float))
             for r in sample.toLocalIterator() if r["numbers"]]
 
