@@ -24,6 +24,19 @@ def share_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+#: Texts go to Python workers a few at a time: a batch is in memory several times over, on both
+#: sides, and the largest texts decide how large it gets.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+           "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the session needs before texts are worked on in Python."""
+    share_package(spark)
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

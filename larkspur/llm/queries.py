@@ -18,7 +18,7 @@ from larkspur.llm import (
     simhash,
     warc,
 )
-from larkspur.llm.common import share_package, table
+from larkspur.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL by query.
@@ -27,7 +27,7 @@ SQL: dict[str, str] = {}
 
 def _query(function):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        share_package(spark)
+        prepare(spark)
         return function(spark, folder)
 
     QUERIES[function.__name__] = run
