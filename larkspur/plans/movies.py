@@ -19,7 +19,9 @@ from larkspur.operators.ratings import rating_stats, titled_stats
 RANKS, ITERATIONS, REGULARISATION, SEED = (4, 8, 12), 5, 0.1, 5
 POPULAR_ABOVE, RECOMMENDED_ABOVE = 500, 75
 
-LEAST_BLOCKS, MOST_BLOCKS = 10, 400
+#: Blocks of users and of movies. Factors start per block, so the result depends on this number;
+#: it is fixed, and never taken from the cluster.
+BLOCKS = 10
 
 
 def popular_movies(ratings: DataFrame, movies: DataFrame, more_than: int = POPULAR_ABOVE,
@@ -44,14 +46,13 @@ def popular_by_text_key(ratings: DataFrame, movies: DataFrame, more_than: int =
 
 
 def fit(train: DataFrame, rank: int, iterations: int = ITERATIONS,
-        regularisation: float = REGULARISATION, seed: int = SEED) -> ALSModel:
+        regularisation: float = REGULARISATION, seed: int = SEED,
+        blocks: int = BLOCKS) -> ALSModel:
     """Alternating least squares on explicit ratings; unknown ids get no prediction.
 
-    Users and movies are cut into as many blocks as there are cores, within bounds: every
-    user block exchanges factors with every movie block.
+    Users and movies are cut into ``blocks`` each, and every user block exchanges factors with
+    every movie block. Give more for more ratings; the same number gives the same model.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    blocks = min(max(cores, LEAST_BLOCKS), MOST_BLOCKS)
     return ALS(rank=rank, maxIter=iterations, regParam=regularisation, seed=seed,
                numUserBlocks=blocks, numItemBlocks=blocks,
                userCol="user", itemCol="movie", ratingCol="rating", implicitPrefs=False,

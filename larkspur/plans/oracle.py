@@ -119,10 +119,10 @@ SQL["failed_endpoint_count"] = _logs(
     "SELECT count(DISTINCT endpoint) AS endpoints FROM logs WHERE response_code <> 200")
 SQL["unique_hosts"] = _logs("SELECT count(DISTINCT host) AS hosts FROM logs")
 SQL["daily_unique_hosts"] = _logs(f"""
-SELECT {DAY} AS day, count(DISTINCT host) AS hosts FROM logs GROUP BY 1 ORDER BY 1 LIMIT 30""")
+SELECT {DAY} AS day, count(DISTINCT host) AS hosts FROM logs GROUP BY 1""")
 SQL["avg_requests_per_host"] = _logs(f"""
 SELECT {DAY} AS day, count(*) // count(DISTINCT host) AS requests_per_host
-FROM logs GROUP BY 1 ORDER BY 1 LIMIT 30""")
+FROM logs GROUP BY 1""")
 SQL["daily_hosts_by_date"] = _logs("""
 SELECT CAST(date_time AS DATE) AS day, count(*) AS requests, count(DISTINCT host) AS hosts,
        count(*) // count(DISTINCT host) AS requests_per_host FROM logs GROUP BY 1""")

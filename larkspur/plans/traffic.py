@@ -73,9 +73,10 @@ def daily_hosts(logs: DataFrame, full_date: bool = False) -> DataFrame:
                             whole_ratio(F.col("requests"), F.col("hosts")))
 
 
-def first_days(daily: DataFrame, k: int = 30) -> DataFrame:
-    """A per-day report in day order, at most ``k`` days."""
-    return daily.orderBy("day").limit(k)
+def first_days(daily: DataFrame, k: int | None = None) -> DataFrame:
+    """A per-day report in day order: all days, or the first ``k``."""
+    ordered = daily.orderBy("day")
+    return ordered if k is None else ordered.limit(k)
 
 
 def requests_by_day(logs: DataFrame, full_date: bool = False) -> DataFrame:

@@ -57,3 +57,11 @@ def test_not_found(logs):
     assert rows(traffic.top_endpoints(traffic.failed(logs), 1)) == [("/y", 2, 1)]
     assert rows(traffic.series_bounds(traffic.requests_by_hour(missing), "hour", "n")) == [
         (1, 5, 1)]
+
+
+def test_a_month_of_31_days_keeps_them_all(spark):
+    rows = [("h", datetime.datetime(1995, 7, d, 1), "/", 200, 1) for d in range(1, 32)]
+    month = spark.createDataFrame(rows, "host string, date_time timestamp_ntz, endpoint string, "
+                                        "response_code int, content_size bigint")
+    days = traffic.first_days(traffic.daily_hosts(month)).collect()
+    assert [r.day for r in days] == list(range(1, 32))
