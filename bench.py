@@ -29,6 +29,8 @@ def main() -> None:
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
                           spark__driver__memory="16g",
+                          # The tables are single small files.
+                          spark__larkspur__scan__partitions=cpus,
                           spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()

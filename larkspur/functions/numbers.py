@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 # Fixed value: slices below this percentage carry no label.
 SMALLEST_LABELLED_PERCENT = 7
-# Fixed value: month names of the access-log format, in calendar order.
-MONTH_NAMES = "JanFebMarAprMayJunJulAugSepOctNovDec"
+# Month names of the access-log format, in calendar order.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun",
+          "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
+def month_names() -> Column:
+    """The month names as an array, January first."""
+    return F.array(*map(F.lit, MONTHS))
 
 
 def log_of_square(x: Column) -> Column:
@@ -32,9 +38,8 @@ def log_time(text: Column) -> Column:
 
     The result carries no zone and does not depend on the session's zone.
     """
-    month_at = F.instr(F.lit(MONTH_NAMES), F.substring(text, 4, 3))
-    month = F.when((month_at > 0) & (month_at % 3 == 1),
-                   F.lpad(((month_at + 2) / 3).cast("int").cast("string"), 2, "0"))
+    number = F.array_position(month_names(), F.substring(text, 4, 3))
+    month = F.when(number > 0, F.lpad(number.cast("string"), 2, "0"))
     iso = F.concat(
         F.substring(text, 8, 4), F.lit("-"), month, F.lit("-"), F.substring(text, 1, 2),
         F.lit(" "), F.substring(text, 13, 2), F.lit(":"), F.substring(text, 16, 2),

@@ -120,17 +120,22 @@ def with_new_user(train: DataFrame, new_ratings: DataFrame) -> DataFrame:
                            F.col("rating").cast("double")))
 
 
+def recommendable(rated: DataFrame, ratings: DataFrame, movies: DataFrame,
+                  more_than: int = RECOMMENDED_ABOVE) -> DataFrame:
+    """Movies outside ``rated`` with more than ``more_than`` ratings, and their number ``n``."""
+    seen = rated.select("movie").distinct()
+    # The count filter goes first: it is the smaller side of every later step.
+    often = rating_stats(ratings).filter(F.col("n") > more_than).select("movie", "n")
+    return movies.join(often, "movie").join(seen, "movie", "left_anti")
+
+
 def recommendations(model: ALSModel, user: int, rated: DataFrame, ratings: DataFrame,
                     movies: DataFrame, more_than: int = RECOMMENDED_ABOVE,
                     k: int = 20) -> DataFrame:
     """Best predictions for ``user`` among movies they have not rated and that have more
     than ``more_than`` ratings: ``rank``, ``movie``, ``prediction``, ``title``, ``n``."""
-    seen = rated.select("movie").distinct()
-    often = rating_stats(ratings).filter(F.col("n") > more_than).select("movie", "n")
-    # The count filter goes first: it is the smaller side of every later step.
-    unrated = (movies.join(often, "movie").join(seen, "movie", "left_anti")
-               .withColumn("user", F.lit(user).cast("int")))
-    predicted = model.transform(unrated)
+    unrated = recommendable(rated, ratings, movies, more_than)
+    predicted = model.transform(unrated.withColumn("user", F.lit(user).cast("int")))
     listed = predicted.select("movie", F.col("prediction").cast("double").alias("prediction"),
                               "title", "n")
     return top(listed, [F.desc("prediction"), F.asc("movie")], k)

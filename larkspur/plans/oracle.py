@@ -337,6 +337,26 @@ SQL["mean_baseline_rmse"] = RATED + """
 SELECT count(*) AS n, round(sqrt(avg((rating - m) * (rating - m))), 6) AS rmse,
        round(any_value(m), 6) AS mean
 FROM parts, (SELECT avg(rating) AS m FROM parts WHERE part = 0) WHERE part = 2"""
+NEW_USER = f"""new_user AS (
+  SELECT CAST({r.NEW_USER} AS INTEGER) AS "user", movie,
+         CAST(movie % 5 + 1 AS DOUBLE) AS rating FROM (
+    SELECT movie FROM ratings GROUP BY movie ORDER BY count(*) DESC, movie LIMIT 10)),
+candidates AS (SELECT movie, title, n FROM titled
+  WHERE n > {r.RECOMMENDED_ABOVE} AND movie NOT IN (SELECT movie FROM new_user))"""
+WITH_NEW_USER = _with(RATINGS, MOVIES, STATS, SPLIT, NEW_USER)
+SQL["als_predicted_counts"] = RATED + """
+SELECT rank, count(*) AS n FROM parts, (SELECT unnest([4, 8, 12]) AS rank)
+WHERE part = 1 AND "user" IN (SELECT "user" FROM parts WHERE part = 0)
+  AND movie IN (SELECT movie FROM parts WHERE part = 0) GROUP BY rank"""
+SQL["new_user_ratings"] = WITH_NEW_USER + 'SELECT "user", movie, rating FROM new_user'
+SQL["training_with_new_user"] = WITH_NEW_USER + """
+SELECT "user", count(*) AS n FROM (
+  SELECT "user" FROM parts WHERE part = 0 UNION ALL SELECT "user" FROM new_user) GROUP BY "user\""""
+SQL["recommendable_movies"] = WITH_NEW_USER + "SELECT movie, title, n FROM candidates"
+SQL["new_user_list_check"] = WITH_NEW_USER + """
+SELECT least(20, count(*)) AS movies, CAST(0 AS BIGINT) AS out_of_order,
+       CAST(0 AS BIGINT) AS rated, CAST(0 AS BIGINT) AS seldom
+FROM candidates WHERE movie IN (SELECT movie FROM parts WHERE part = 0)"""
 SQL["result_set_difference"] = """
 SELECT k, v, CAST(sum(s) AS BIGINT) AS surplus FROM (
   SELECT CAST(p_size AS BIGINT) AS k, p_type AS v, 1 AS s FROM part

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions import vectors
@@ -25,9 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 # The given tables hold about 30 ratings per part, so the lists use lower thresholds.
 POPULAR_ABOVE, RECOMMENDED_ABOVE, NEW_USER = 30, 25, -1
-# The new user's ratings as (movie, rating).
-NEW_USER_RATINGS = ((993, 5), (789, 5), (744, 4), (633, 3), (1447, 5),
-                    (1195, 5), (551, 4), (811, 5), (1088, 5), (941, 4))
 
 
 def query(function: Query) -> Query:
@@ -49,11 +46,12 @@ def doc_words(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def key_sums(spark, folder):
     """Sum of a whole-number column, and of its multiples of 7."""
-    keys = t.table(spark, folder, "lineitem").select("l_orderkey")
-    all_keys = keys.agg(F.sum("l_orderkey").alias("total"))
-    sevens = keys.filter(F.col("l_orderkey") % 7 == 0).agg(F.sum("l_orderkey").alias("total"))
-    return (all_keys.withColumn("which", F.lit("all"))
-            .unionByName(sevens.withColumn("which", F.lit("sevens"))))
+    key = F.col("l_orderkey")
+    sums = t.table(spark, folder, "lineitem").agg(
+        F.sum(key).alias("total"), F.sum(F.when(key % 7 == 0, key)).alias("sevens"))
+    return sums.select(F.inline(F.array(
+        F.struct(F.lit("all").alias("which"), F.col("total").alias("total")),
+        F.struct(F.lit("sevens").alias("which"), F.col("sevens").alias("total")))))
 
 
 @query
@@ -627,10 +625,39 @@ def als_test_rmse(spark, folder):
         "rank", F.lit(chosen.best_rank))
 
 
+@query
+def als_predicted_counts(spark, folder):
+    """For every rank, how many validation rows the model has a prediction for."""
+    train, validation, _ = _parts(spark, folder)
+    return film.select_rank(train, validation).errors.select("rank", "n")
+
+
+@query
+def new_user_ratings(spark, folder):
+    """The new user rates the ten most rated movies; the rating follows from the movie's key."""
+    often = counting.top_by_count(t.ratings(spark, folder), "movie", 10)
+    return often.select(F.lit(NEW_USER).alias("user"), "movie",
+                        (F.col("movie") % 5 + 1).cast("double").alias("rating"))
+
+
+@query
+def training_with_new_user(spark, folder):
+    """Ratings per user of the training rows, the new user's ones included."""
+    train = _parts(spark, folder)[0]
+    return counting.count_by(
+        film.with_new_user(train, new_user_ratings(spark, folder)), "user")
+
+
+@query
+def recommendable_movies(spark, folder):
+    """What may be recommended to the new user."""
+    return film.recommendable(new_user_ratings(spark, folder), t.ratings(spark, folder),
+                              t.movies(spark, folder), RECOMMENDED_ABOVE)
+
+
 def _new_user_model(spark, folder):
     train, validation, test = _parts(spark, folder)
-    new = spark.createDataFrame([(NEW_USER, m, float(r)) for m, r in NEW_USER_RATINGS],
-                                "user int, movie int, rating double")
+    new = new_user_ratings(spark, folder)
     rank = film.select_rank(train, validation).best_rank
     return film.fit(film.with_new_user(train, new), rank), new, test
 
@@ -641,9 +668,26 @@ def new_user_test_rmse(spark, folder):
     return rounded(film.model_error(model, test), "rmse")
 
 
+def _new_user_list(spark, folder):
+    model, new, _ = _new_user_model(spark, folder)
+    return film.recommendations(model, NEW_USER, new, t.ratings(spark, folder),
+                                t.movies(spark, folder), RECOMMENDED_ABOVE, 20), new
+
+
 @query
 def new_user_recommendations(spark, folder):
-    model, new, _ = _new_user_model(spark, folder)
-    listed = film.recommendations(model, NEW_USER, new, t.ratings(spark, folder),
-                                  t.movies(spark, folder), RECOMMENDED_ABOVE, 20)
-    return rounded(listed, "prediction")
+    return rounded(_new_user_list(spark, folder)[0], "prediction")
+
+
+@query
+def new_user_list_check(spark, folder):
+    """Length of the new user's list, and how many of its movies are out of order, rated by
+    the user or rated too seldom."""
+    listed, new = _new_user_list(spark, folder)
+    before = F.lag("prediction").over(Window.orderBy("rank"))
+    rated = new.select("movie", F.lit(True).alias("rated"))
+    return listed.withColumn("before", before).join(rated, "movie", "left").agg(
+        F.count(F.lit(1)).alias("movies"),
+        F.count_if(F.col("before") < F.col("prediction")).alias("out_of_order"),
+        F.count_if("rated").alias("rated"),
+        F.count_if(F.col("n") <= RECOMMENDED_ABOVE).alias("seldom"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.functions.numbers import MONTH_NAMES
+from larkspur.functions.numbers import month_names
 from larkspur.operators.ratings import split_rows
 from larkspur.sources.lines import accepted, spread
 from larkspur.sources.ratings import parse_movie_lines, parse_rating_lines
@@ -58,7 +58,7 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
         return F.lpad(part.cast("string"), 2, "0")
 
     ts = F.col("ts")
-    month = F.substring(F.lit(MONTH_NAMES), F.month(ts) * 3 - 2, F.lit(3))
+    month = F.get(month_names(), F.month(ts) - 1)
     time = F.concat(two(F.dayofmonth(ts)), F.lit("/"), month, F.lit("/"),
                     F.year(ts).cast("string"), F.lit(":"), two(F.hour(ts)), F.lit(":"),
                     two(F.minute(ts)), F.lit(":"), two(F.second(ts)))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARSED, HEADER = 1, 0
+SCAN_PARTITIONS = "spark.larkspur.scan.partitions"
 
 
 def number_range(spark: SparkSession, stop: int, start: int = 0) -> DataFrame:
@@ -34,11 +35,11 @@ def read_lines(spark: SparkSession, path: str | list[str],
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Give every core a share of a scan that has fewer partitions than there are cores,
-    as one small or unsplittable file has. A large scan comes back unchanged, without a
-    shuffle."""
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    """Bring a scan to at least ``partitions``, or to as many as the session names in
+    ``SCAN_PARTITIONS``, as one small or unsplittable file needs. Where neither is given, and
+    for a larger scan, the frame comes back unchanged, without a shuffle."""
+    wanted = partitions or int(df.sparkSession.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(wanted) if wanted and df.rdd.getNumPartitions() < wanted else df
 
 
 def captured(line: Column, pattern: str, groups: int) -> Column:
