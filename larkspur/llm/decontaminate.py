@@ -6,7 +6,8 @@ fits all items. Items lie in blocks; the index keeps a term's postings and its l
 every block.
 
 Training text is cut into overlapping passages, each a query. The stride is the length of the
-longest item, so every place an item can stand lies in one passage as a whole. Retrieval finds
+longest item and the words that edits may add to it, so every place an item can stand lies in one
+passage as a whole. Retrieval finds
 all items above the threshold:
 
 * the largest weights of a passage's terms are summed per block, for a whole batch of passages
@@ -14,8 +15,11 @@ all items above the threshold:
 * in the other blocks the WAND loop walks the postings of the passage's terms, takes the first
   item at which the remaining largest weights can reach the threshold, and scores it in full.
 
-What is retrieved is verified: enough of the question's word 5-grams and of the answer's must
-stand in the passage. An item's last sentence is its answer; the rest is the question.
+What is retrieved is verified. An item's last sentence is its answer; the rest is the question.
+A part's overlap is the share of its word 5-grams that stand in the passage or, as one changed
+word kills five of those, the share of its words left after the fewest word edits that make it a
+stretch of the passage, whichever is more. Enough of the item's words must be there over both
+parts, and of each part enough or all but one word, so a short answer weighs by its length.
 
 The index is broadcast up to ``INDEX_ITEMS`` items at a time; more items are as many indexes,
 one after another over the same passages, so a task holds one of them.
@@ -38,7 +42,7 @@ from larkspur.llm.common import whole_text
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage must reach.
 THRESHOLD = 0.6
-#: Shares of the question's and the answer's word n-grams that must stand in a passage.
+#: Shares of the question and the answer that must stand in a passage.
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.8, 0.8
 GRAM = 5
 #: Small blocks have tight bounds; the bounds of an index take terms x blocks x 4 bytes.
@@ -85,6 +89,8 @@ class Index:
     #: Terms x blocks: the largest weight of a term in a block; one more row of zeros.
     block_max: np.ndarray
     parts: list[tuple[list[str], list[str], set, set]]
+    #: Terms of the question and of the answer, in order.
+    sequences: list[tuple[np.ndarray, np.ndarray]]
     stride: int
 
     @classmethod
@@ -117,7 +123,9 @@ class Index:
                           (weight * 1.0001).astype(np.float32))
         return cls([i for i, _, _ in listed], terms, postings, block_max,
                    [(q, a, grams(q), grams(a)) for _, _, (q, a) in listed],
-                   max([LEAST_STRIDE, *(len(w) for _, w, _ in listed)]))
+                   [tuple(np.array([terms[w] for w in p], dtype=np.int64) for p in parts)
+                    for _, _, parts in listed],
+                   max([LEAST_STRIDE, *(len(w) + len(w) // 4 for _, w, _ in listed)]))
 
     def retrieve(self, terms: np.ndarray, blocks: np.ndarray, threshold: float
                  ) -> list[tuple[int, float]]:
@@ -176,8 +184,10 @@ class Index:
                     total[int(at)] = total.get(int(at), 0.0) + float(weight)
         return total
 
-    def overlap(self, item: int, passage: set) -> tuple[float, float]:
-        """Shares of question and answer n-grams among the passage's; 1 for an empty part."""
+    def overlap(self, item: int, passage: set, numbers: np.ndarray, question: float,
+                answer: float) -> tuple[float, float] | None:
+        """Overlaps of question and answer with a passage, of which the n-grams and the terms in
+        order are given, 1 for an empty part; None if the item is not there."""
         q, a, q_grams, a_grams = self.parts[item]
 
         def share(words: list[str], own: set) -> float:
@@ -189,7 +199,39 @@ class Index:
                                  for g in passage for i in range(len(g) - len(words) + 1)))
             return len(own & passage) / len(own)
 
-        return share(q, q_grams), share(a, a_grams)
+        def there(shares: list[float]) -> bool:
+            return (sum(s * n for s, n in zip(shares, sizes, strict=True)) >= needed - 1e-9
+                    and all(s >= level or (1 - s) * n <= 1 + 1e-9 for s, n, level
+                            in zip(shares, sizes, (question, answer), strict=True)))
+
+        sizes = (len(q), len(a))
+        needed = question * len(q) + answer * len(a)
+        shares = [share(q, q_grams), share(a, a_grams)]
+        if shares[0] < question or shares[1] < answer:
+            own = self.sequences[item]
+            # No more words can be left than the passage has at all.
+            if not there([max(s, float(np.isin(p, numbers).mean()) if len(p) else 1.0)
+                          for s, p in zip(shares, own, strict=True)]):
+                return None
+            shares = [max(s, aligned_share(p, numbers)) for s, p in zip(shares, own, strict=True)]
+            if not there(shares):
+                return None
+        return shares[0], shares[1]
+
+
+def aligned_share(part: np.ndarray, passage: np.ndarray) -> float:
+    """1 less the fewest edits (a word changed, put in or left out) that make ``part`` a stretch
+    of ``passage``, as a share of its words; 1 for an empty part."""
+    if not len(part):
+        return 1.0
+    steps = np.arange(len(passage) + 1)
+    edits = np.zeros(len(passage) + 1, dtype=np.int64)
+    for i, word in enumerate(part.tolist()):
+        own = edits + 1
+        own[1:] = np.minimum(own[1:], edits[:-1] + (passage != word))
+        own[0] = i + 1
+        edits = np.minimum.accumulate(own - steps) + steps
+    return 1 - int(edits.min()) / len(part)
 
 
 def statistics(texts: list[str]) -> tuple[int, float, dict[str, int]]:
@@ -254,9 +296,11 @@ def contaminated(text: str, index: Index, threshold: float = THRESHOLD,
                 continue
             seen = grams(words[a:a + 2 * stride])
             for item, score in hits:
-                q, x = index.overlap(item, seen)
-                if q >= question and x >= answer and score > found.get(item, (-1.0,))[0]:
-                    found[item] = (score, q, x, base + a)
+                if score <= found.get(item, (-1.0,))[0]:
+                    continue
+                shares = index.overlap(item, seen, numbers[a:a + 2 * stride], question, answer)
+                if shares:
+                    found[item] = (score, *shares, base + a)
         base += max(0, len(words) - 2 * stride)
     return found
 

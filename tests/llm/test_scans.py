@@ -179,6 +179,23 @@ def test_items_are_found_wherever_they_stand(docs, spark):
         i for i, _ in rows if not i or not 1000 <= i < 2000)
 
 
+def test_an_item_with_one_changed_word_is_found_and_half_of_it_is_not():
+    listed = items()
+    index = Index.of(listed)
+    filler = [f"filler{i}" for i in range(150)]
+    for item, text in listed:
+        words = words_of(text)
+        for at in range(len(words)):
+            others = [words[:at] + ["changed"] + words[at + 1:], words[:at] + words[at + 1:],
+                      words[:at] + ["more"] + words[at:]]
+            for own in others:
+                marked = " ".join(filler[:37 + at] + own + filler)
+                assert item in contaminated(marked, index), (text, at)
+        # Every third word changed is another text.
+        other = [w if i % 3 else "changed" for i, w in enumerate(words)]
+        assert item not in contaminated(" ".join(filler + other + filler), index, threshold=0.1)
+
+
 def test_an_item_across_runs_of_a_very_long_text(monkeypatch):
     from larkspur.llm import decontaminate
     monkeypatch.setattr(decontaminate, "WORDS_AT_ONCE", 300)
