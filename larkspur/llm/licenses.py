@@ -5,8 +5,9 @@ to the hashes of the templates; the hash finds a partner, the words themselves c
 of a document's place with a template's place votes for the diagonal (document place less
 template place). The votes of a diagonal are summed; diagonals of one template at most
 ``gap`` apart are one span, as words put in or left out move a notice to a neighbouring
-diagonal; and a span is verified by the share of the template's words that its votes cover and by
-its length.
+diagonal; and a span is verified by the share of the template's words that its votes cover (each
+word once), by its length, and by the words that tell the template from other licenses, which have
+to stand consecutively.
 
 Base phrases are templates that count only if all of their words stand consecutively.
 """
@@ -23,8 +24,16 @@ K = 3
 GAP = 4
 #: Share of a template's words that must be covered.
 LEAST_COVER = 0.75
-#: Notices of fewer words must be there whole, as one word or number may tell licenses apart.
+#: Notices of fewer words without a telling phrase must be there whole.
 LEAST_LOOSE_WORDS = 16
+#: Words that tell licenses apart: they stand consecutively wherever a notice that has them does.
+TELLING = (
+    "mit", "apache license version 2", "gnu general public license version 3",
+    "gnu general public license version 2", "gnu general public license",
+    "gnu lesser general public license", "mozilla public license v 2",
+    "creative commons attribution 4 0", "creative commons attribution sharealike 4 0",
+    "creative commons attribution noncommercial 4 0", "cc by nc 4", "cc by sa 4", "unencumbered",
+)
 
 #: Base phrases and their labels.
 PHRASES = (
@@ -71,6 +80,17 @@ class Template:
     words: tuple[str, ...]
     base: bool
 
+    @property
+    def telling(self) -> tuple[int, int]:
+        """First and last place of the words that must stand consecutively; (0, -1) for none."""
+        held = [p.split() for p in TELLING]
+        found = [(len(p), i) for p in held for i in range(len(self.words) - len(p) + 1)
+                 if list(self.words[i:i + len(p)]) == p]
+        if found:
+            size, at = max(found)
+            return at, at + size - 1
+        return (0, -1) if len(self.words) >= LEAST_LOOSE_WORDS else (0, len(self.words) - 1)
+
 
 def templates(phrases=PHRASES, notices=NOTICES) -> list[Template]:
     """The base phrases and the notices; all need at least three words."""
@@ -126,12 +146,16 @@ def votes(docs: DataFrame, listed: list[Template]) -> DataFrame:
 def spans(voted: DataFrame, listed: list[Template], gap: int = GAP) -> DataFrame:
     """Per document and template the verified spans: ``first`` and ``last`` word, ``cover``."""
     spark = voted.sparkSession
-    about = _literal_rows(spark, ["template", "label", "base", "n"],
-                          [(t.number, t.label, t.base, len(t.words)) for t in listed])
+    about = _literal_rows(spark, ["template", "label", "base", "n", "tell_first", "tell_last"],
+                          [(t.number, t.label, t.base, len(t.words), *t.telling) for t in listed])
     row = ["_llm_key", "_llm_digest", "template"]
     diagonals = voted.groupBy(*row, "diagonal").agg(
         F.min("place").alias("first"), (F.max("place") + K - 1).alias("last"),
         F.count(F.lit(1)).alias("votes"),
+        # Template places that votes cover; a diagonal has no more of them than the template.
+        F.array_distinct(F.flatten(F.collect_list(F.sequence(
+            F.col("place") - F.col("diagonal"), F.col("place") - F.col("diagonal") + K - 1))))
+        .alias("covers"),
     ).join(F.broadcast(about), "template")
     # A base phrase is whole on a single diagonal; it has no neighbours.
     whole = diagonals.filter(f"base AND votes = n - {K - 1}").select(
@@ -142,20 +166,20 @@ def spans(voted: DataFrame, listed: list[Template], gap: int = GAP) -> DataFrame
     reach = F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1))
     is_new = (before.isNull() | (F.abs(F.col("diagonal") - before) > gap)
               | (F.col("first") - reach > F.col("n")))
-    merged = (diagonals.filter("NOT base")
+    # On one diagonal, words that are consecutive in the template are so in the document.
+    told = (F.col("tell_last") < F.col("tell_first")) | (F.size(F.array_except(
+        F.sequence("tell_first", F.greatest("tell_first", "tell_last")), "covers")) == 0)
+    merged = (diagonals.filter("NOT base").withColumn("told", told)
               .withColumn("_new", F.coalesce(is_new, F.lit(True)).cast("int"))
               .withColumn("_span", F.sum("_new").over(own))
               .groupBy(*row, "label", "base", "n", "_span").agg(
                   F.min("first").alias("first"), F.max("last").alias("last"),
-                  F.sum(F.col("votes") + K - 1).alias("covered")))
-    # Words that two diagonals cover, and words between them, cannot push a span over 1.
-    cover = F.least(F.lit(1.0), F.least(F.col("covered"), F.col("last") - F.col("first") + 1)
-                    / F.col("n"))
+                  F.max("told").alias("told"), F.size(F.array_distinct(F.flatten(
+                      F.collect_list("covers")))).alias("covered")))
+    cover = F.least(F.col("covered"), F.col("last") - F.col("first") + 1) / F.col("n")
     return whole.unionByName(merged.withColumn("cover", cover).filter(
         (F.col("cover") >= LEAST_COVER)
-        & (F.col("last") - F.col("first") + 1 <= F.col("n") * 2)
-        & ((F.col("n") >= LEAST_LOOSE_WORDS) | (
-            (F.col("cover") == 1) & (F.col("last") - F.col("first") + 1 == F.col("n"))))
+        & (F.col("last") - F.col("first") + 1 <= F.col("n") * 2) & F.col("told")
     ).select(*row, "label", "base", "first", "last", "cover"))
 
 

@@ -70,6 +70,50 @@ def test_notices_with_changed_words_are_found_and_prose_is_not(docs):
     assert "mit" in got[100] and got[101] == [""]
 
 
+def test_lightly_edited_notices_are_found_and_other_licenses_are_not(docs):
+    rows, expected = [], {}
+    for number, (notice, label) in enumerate(NOTICES):
+        words = notice.split()
+        if len(words) >= 16:
+            for a in range(9, 12) if label == "apache-2" else range(3, 6):
+                # Two words far apart; those that tell licenses apart stay.
+                own = list(words)
+                own[a] = own[9 if label == "mpl-2" else -4] = "changed"
+                rows.append((number * 100 + a, f"before it {' '.join(own)} and after"))
+                expected[number * 100 + a] = label
+    others = {
+        "distributed under the mit license": "mit",
+        "is licensed under an apache license version 2 0": None,
+        "licensed beneath the apache license version 2 0": None,
+        "made available under the apache license version 2 0": "apache-2",
+        "made available under the gnu general public license version 3": "gpl-3",
+        "our work is licensed under a creative commons attribution 4 0 international license":
+            "cc-by",
+        "this is free and truly unencumbered software released into a public domain": None,
+        "this is free and unencumbered software placed into the public domain": "unlicense",
+    }
+    never = {
+        "licensed under the apache license version 1 1": "apache-2",
+        "licensed under the gnu general public license version 1": "gpl",
+        "licensed under the gnu lesser general public license version 3": "gpl-3",
+        "this work is licensed under a creative commons attribution noderivatives 4 0 "
+        "international license": "cc-by",
+        "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 "
+        "international license": "cc-by-nc",
+        "licensed under the apache license version 1 1 you may not use this file except in "
+        "compliance with the license": "apache-2",
+    }
+    rows += [(5000 + i, f"see it is {x} for more") for i, x in enumerate(others)]
+    rows += [(6000 + i, f"see it is {x} for more") for i, x in enumerate(never)]
+    got = {r.doc_id: r for r in license_digest(docs(rows)).collect()}
+    for i, label in expected.items():
+        assert label in got[i].labels.split(","), (i, label, got[i])
+    for i, label in enumerate(others.values()):
+        assert not label or label in got[5000 + i].labels.split(","), got[5000 + i]
+    for i, label in enumerate(never.values()):
+        assert label not in got[6000 + i].labels.split(","), got[6000 + i]
+
+
 # --- quality rules ---
 
 def plain_measures(text):
