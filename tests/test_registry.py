@@ -1,12 +1,13 @@
-"""Every registered query on the smallest tables, against its SQL where it has one."""
+"""Every query of the core registry on the smallest tables, against its SQL where it has one."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
 from check_queries import TABLES, normal
+from larkspur.plans.oracle import SQL
+from larkspur.plans.registry import QUERIES
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 # Factor models have no SQL counterpart.
 WITHOUT_SQL = {"als_rank_selection", "als_test_rmse", "new_user_test_rmse",
                "new_user_recommendations"}
@@ -24,6 +25,8 @@ def database(smallest_tables):
 def test_every_query_has_sql_but_the_factor_models():
     assert QUERIES.keys() - SQL.keys() == WITHOUT_SQL
     assert SQL.keys() <= QUERIES.keys()
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert SQL.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -227,5 +227,5 @@ def test_vectors_of_hand_written_texts(spark):
 
 
 def test_stored_table_reads_back(spark):
-    kept = stored(spark.range(10).withColumn("side", F.lit("l")), "side")
+    kept = stored(spark.range(10).withColumn("side", F.lit("l")))
     assert kept.count() == 10 and kept.columns == ["id", "side"]
