@@ -14,13 +14,7 @@ bits and within r - r // 2 bits of them (in the bits that the table does not loo
 those that meet at a point are linked to the smallest there. Two fingerprints differ in r bits
 at most exactly if they meet so, hence this finds the same components from counts and minima.
 
-``keep_one``, a stage of the pipeline, holds texts for near-duplicates if their sets of five-word
-shingles have a Jaccard similarity of 0.8 or more. At 0.8 about ten of 64 bits differ, which
-would take over 2^10 covering tables; so candidates come from MinHash there: ``BANDS`` keys of
-``BAND_ROWS`` minima each, of which two such texts share one with a probability of 0.99995 or
-more. Every link is confirmed on the sets themselves. Within a bucket, a centre is compared with
-the rest, then more centres with what is not yet in their component, until every pair of the
-bucket is in one component or compared.
+``keep_one``, a stage of the pipeline, keeps one row of each component that these links make.
 """
 
 from __future__ import annotations
@@ -32,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import digest, whole_text
@@ -46,14 +40,6 @@ SEED = 42
 BUCKET_NODES = 512
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
-#: What the pipeline's stage calls near-duplicates: so many words a shingle, and so many fifths of
-#: the shingles of either text in both.
-STAGE_WORDS, STAGE_FIFTHS = 5, 4
-BANDS, BAND_ROWS = 25, 5
-#: Centres of a bucket grow by this factor from round to round.
-MORE_CENTRES = 16
-#: Shingles whose minima are taken at a time.
-MINIMA_AT_ONCE = 2048
 
 _ID, _FP, _TEXT = "_llm_id", "_llm_fp", "_llm_text"
 
@@ -88,34 +74,6 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def shingle_set(text: str, words: int = STAGE_WORDS) -> np.ndarray:
-    """The distinct hashes of a text's shingles, in order."""
-    blocks = [h.astype(np.uint64) for h in _shingle_hashes(text, words)]
-    return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, dtype=np.uint64)
-
-
-_PERMUTED = np.random.default_rng(SEED).integers(
-    0, 1 << 64, (2, BANDS * BAND_ROWS, 1), dtype=np.uint64)
-
-
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """A signed key per band for a set of shingle hashes; none for an empty set."""
-    if not len(shingles):
-        return []
-    factor, shift = _PERMUTED[0] | np.uint64(1), _PERMUTED[1]
-    least = np.full(BANDS * BAND_ROWS, (1 << 64) - 1, dtype=np.uint64)
-    for i in range(0, len(shingles), MINIMA_AT_ONCE):
-        np.minimum(least, (shingles[i:i + MINIMA_AT_ONCE] * factor + shift).min(axis=1), out=least)
-    return [_signed(xxhash.xxh64_intdigest(row.tobytes(), band))
-            for band, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
-
-
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets of shingles are near-duplicates."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 5 * both >= STAGE_FIFTHS * (len(a) + len(b) - both)
-
-
 def masks(radius: int = RADIUS) -> np.ndarray:
     """The bits that each table looks at."""
     vectors = [i % (2 ** (radius + 1) - 1) + 1 for i in range(BITS)]
@@ -136,10 +94,10 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, key: str = "doc_id
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0),
                  pa.array([_signed(fingerprint(t, words)) for t in texts], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass"))
-                           for t in texts], pa.binary())], [_ID, _FP, _TEXT])
+                 batch.column(2)], [_ID, _FP, _TEXT])
 
-    return docs.select(F.col(key).cast("bigint"), whole_text(text)).mapInArrow(
+    return docs.select(F.col(key).cast("bigint"), whole_text(text),
+                       digest(whole_text(text))).mapInArrow(
         hashed, f"{_ID} long, {_FP} long, {_TEXT} binary")
 
 
@@ -244,92 +202,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE_
         F.col("least").alias("component_id"))
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Those of the pairs ``u`` and ``v`` that are near-duplicates; ``texts`` has ``node`` and
-    ``_llm_whole``."""
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            last, centre, kept = None, None, []
-            for i, v in enumerate(batch.column(1)):
-                if centre is None or v.as_py() != last:
-                    last, centre = v.as_py(), shingle_set(batch.column(3)[i].as_py(), words)
-                kept.append(similar(shingle_set(batch.column(2)[i].as_py(), words), centre))
-            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
-
-    def of(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), F.col("_llm_whole").alias(f"{name}_text"))
-
-    both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "u_text", "v_text")
-    return both.mapInArrow(compare, "u binary, v binary")
-
-
-def _stage_groups(docs: DataFrame, words: int, key: str, text: str) -> DataFrame:
-    """``_llm_id``, ``_llm_text`` (a digest of the text) and ``root`` of every row, the same for
-    all rows of a component of near-duplicates. Equal shingle sets are one node."""
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(v.as_py(), words) for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2),
-                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))],
-                [_ID, _TEXT, "node", "n", "keys"])
-
-    whole = docs.select(F.col(key).cast("bigint"), whole_text(text).alias("_llm_whole"),
-                        digest(whole_text(text)).alias(_TEXT))
-    marked = stored(whole.mapInArrow(
-        marks, f"{_ID} long, {_TEXT} binary, node binary, n long, keys array<long>"))
-    nodes = marked.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
-    entries = stored(nodes.select("node", "n", F.explode("keys").alias("key")))
-    centres = (entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("centre"),
-                                          F.count(F.lit(1)).alias("size"))
-               .filter("size > 1").select("key", "centre"))
-    shared = stored(entries.join(centres, "key"))
-    # One text of each node that shares a bucket.
-    wanted = (marked.join(shared.select("node").distinct(), "node")
-              .groupBy("node").agg(F.min(_TEXT).alias(_TEXT)))
-    texts = stored(whole.select(_TEXT, "_llm_whole").join(wanted, _TEXT)
-                   .dropDuplicates(["node"]).select("node", "_llm_whole"))
-
-    def near_in_size(a: str, b: str) -> Column:
-        return 5 * F.least(a, b) >= STAGE_FIFTHS * F.greatest(a, b)
-
-    pairs = shared.filter((F.col("node") != F.col("centre.node"))
-                          & near_in_size("n", "centre.n"))
-    pairs = pairs.select(F.col("node").alias("u"), F.col("centre.node").alias("v")).distinct()
-    links, compared, shared = stored(_confirmed(pairs, texts, words)), 1, shared.drop("centre")
-    while True:
-        roots = component_roots(links)
-        placed = (shared.join(roots, shared["node"] == roots["u"], "left")
-                  .select("key", "node", "n", F.coalesce("v", "node").alias("root")))
-        # Buckets whose nodes are in several components and were not all centres.
-        left = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"),
-                                          F.min("root").alias("a"), F.max("root").alias("b"))
-                .filter((F.col("a") != F.col("b")) & (F.col("size") > compared + 1)).select("key"))
-        ranked = stored(placed.join(left, "key").withColumn(
-            "rank", F.row_number().over(Window.partitionBy("key").orderBy("node"))))
-        if ranked.isEmpty():
-            break
-        more = ranked.filter(F.col("rank").between(compared + 1, compared * MORE_CENTRES)).select(
-            "key", F.col("node").alias("v"), F.col("n").alias("v_n"),
-            F.col("root").alias("v_root"), F.col("rank").alias("v_rank"))
-        pairs = (ranked.join(more, "key")
-                 .filter((F.col("rank") > F.col("v_rank")) & (F.col("root") != F.col("v_root"))
-                         & near_in_size("n", "v_n"))
-                 .select(F.col("node").alias("u"), "v").distinct())
-        links = stored(links.union(_confirmed(pairs, texts, words)))
-        compared, shared = compared * MORE_CENTRES, ranked.select("key", "node", "n")
-    return (marked.join(roots, marked["node"] == roots["u"], "left")
-            .select(_ID, _TEXT, F.coalesce("v", "node").alias("root")))
-
-
-def keep_one(docs: DataFrame, words: int = STAGE_WORDS, key: str = "doc_id",
+def keep_one(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE_WORDS,
+             bucket_nodes: int = BUCKET_NODES, key: str = "doc_id",
              text: str = "text") -> DataFrame:
-    """One row of ``docs`` for each component of near-duplicates, all columns as they are: the
+    """One row of ``docs`` for each component of linked fingerprints, all columns as they are: the
     row of the smallest key (a null comes last), and among that key's rows one by a digest of
-    the text. Wordless texts are one component."""
-    first = _stage_groups(docs, words, key, text).groupBy("root").agg(
+    the text. Null and wordless texts have fingerprint 0 and are one component."""
+    grouped = _grouped(docs, radius, words, bucket_nodes, key, text)
+    first = grouped.groupBy("root").agg(
         F.min(F.struct(F.col(_ID).isNull().alias("none"), _ID, _TEXT)).alias("first"))
     first = first.select("first.*").select(F.col(_ID).alias("_llm_first"), _TEXT)
     own = docs.withColumn("_llm_own", digest(whole_text(text)))
