@@ -4,8 +4,8 @@ A line's key is the line without white space at both ends, in lower case (A-Z).
 characters found in enough documents loses all its lines except those in the largest document id
 that holds it. Almost all keys occur once, so they are kept out of the exact count:
 
-1. Each task hashes the keys of its documents, once per document, and sends the distinct
-   hashes, eight bytes each, to the slice of the hash space they belong to; hashes that the task
+1. Each task takes a quick hash of the keys of its documents and sends the distinct hashes, eight
+   bytes each, to the slice of the hash space they belong to; hashes that the task
    met again go a second time, in a list of their own.
 2. Each slice puts them into two Bloom filters: a hash whose bits are all in the once-seen filter
    sets its bits in the twice-seen filter, any other hash sets its bits in the once-seen one.
@@ -25,15 +25,16 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import BLANKS, whole_text
+from larkspur.llm.common import whole_text
 from larkspur.session import stored
 
 LEAST_CHARACTERS = 20
@@ -43,27 +44,30 @@ HASHES = 4
 #: A slice's filter has so many bits, whatever the size of the input.
 SLICE_BITS = 1 << 23
 BROADCAST_BYTES = 64 << 20
+#: Lines that meet a slice's filter in one task.
+PART_LINES = 1 << 22
 
 _ID = "_llm_id"
 
 
-def line_key(line: str) -> str:
-    """The key of a line: stripped of ASCII white space, A-Z in lower case."""
-    line = line.strip(BLANKS)
-    return line.lower() if line.isascii() else line.translate(_LOWER)
+def line_keys(text: str, least: int) -> list[bytes]:
+    """The key of every line in UTF-8: stripped of ASCII white space, A-Z in lower case; empty
+    where it has fewer than ``least`` characters and so cannot count."""
+    # Methods of bytes know ASCII only, so lower() and strip() do just what a key needs.
+    keys = [line.strip() for line in text.encode("utf-8", "surrogatepass").lower().split(b"\n")]
+    if text.isascii():
+        return [k if len(k) >= least else b"" for k in keys]
+    return [k if len(k) >= 4 * least or len(k.decode("utf-8", "surrogatepass")) >= least else b""
+            for k in keys]
 
 
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+def _digest(key: bytes) -> bytes:
+    return hashlib.blake2b(key, digest_size=16).digest()
 
 
-def _digests(text: str, least: int) -> list[bytes]:
-    """The 16-byte digest of every line's key; empty where the key is too short to count."""
-    return [hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            if len(key) >= least else b"" for key in map(line_key, text.split("\n"))]
-
-
-def _hashes(digests: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(digests), dtype="<u8")[::2]
+def _hashes(keys: Collection[bytes]) -> np.ndarray:
+    """A quick hash of every key, for the filters."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), dtype=np.uint64, count=len(keys))
 
 
 def _slice_of(hashes: np.ndarray, slices: int) -> np.ndarray:
@@ -152,7 +156,7 @@ def _task_hashes(docs: DataFrame, least: int, slices: int) -> DataFrame:
         parts, held = [], 0
         for batch in batches:
             for value in batch.column(0):
-                own = np.unique(_hashes(_digests(value.as_py(), least)))
+                own = np.unique(_hashes(set(line_keys(value.as_py(), least)) - {b""}))
                 if len(own):
                     parts.append(own)
                     held += len(own)
@@ -197,10 +201,10 @@ def _suspects_here(docs: DataFrame, least: int, filters: PackedFilters) -> DataF
         for batch in batches:
             ids, found = [], []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                digests = list(set(_digests(value.as_py(), least)) - {b""})
-                if digests:
-                    hits = np.flatnonzero(shared.value.has(_hashes(digests)))
-                    found += [digests[i] for i in hits]
+                keys = list(set(line_keys(value.as_py(), least)) - {b""})
+                if keys:
+                    hits = np.flatnonzero(shared.value.has(_hashes(keys)))
+                    found += [_digest(keys[i]) for i in hits]
                     ids += [doc] * len(hits)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(found, pa.binary())], [_ID, "digest"])
@@ -208,39 +212,85 @@ def _suspects_here(docs: DataFrame, least: int, filters: PackedFilters) -> DataF
     return docs.select(_ID, "_llm_text").mapInArrow(probe, f"{_ID} long, digest binary")
 
 
-def _suspects_by_slice(docs: DataFrame, least: int, slices: int, filters: DataFrame) -> DataFrame:
-    """The same without a broadcast: digests go to their slice's filter in packs."""
+def _packs(docs: DataFrame, least: int, slices: int) -> DataFrame:
+    """Every document's distinct lines for the slice of their hash: in each row some ``ids``,
+    ``hashes`` and ``digests`` of one slice, in one order. A task holds at most ``HELD`` lines."""
+    HELD = 1 << 19
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, keys = [], []
+
+        def flush() -> pa.RecordBatch:
+            hashes = _hashes(keys)
+            digests = np.frombuffer(b"".join(map(_digest, keys)), dtype="V16")
+            docs_of = np.array([-1 if i is None else i for i in ids], dtype=np.int64)
+            missing = np.array([i is None for i in ids])
+            own = _slice_of(hashes, slices)
+            order = np.argsort(own, kind="stable")
+            starts = np.flatnonzero(np.diff(own[order], prepend=-1))
+            at = [order[a:b] for a, b in zip(starts, [*starts[1:], len(order)], strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([int(own[x[0]]) for x in at], pa.int32()),
+                 pa.array([pa.array(docs_of[x], mask=missing[x]).to_pylist() for x in at],
+                          pa.list_(pa.int64())),
+                 pa.array([hashes[x].astype("<u8").tobytes() for x in at], pa.binary()),
+                 pa.array([digests[x].tobytes() for x in at], pa.binary()),
+                 pa.array([len(x) for x in at], pa.int64())],
+                ["slice", "ids", "hashes", "digests", "n"])
+
         for batch in batches:
-            packs: dict[int, tuple[list, list]] = {}
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                digests = list(set(_digests(value.as_py(), least)) - {b""})
-                if digests:
-                    for digest, s in zip(digests, _slice_of(_hashes(digests), slices), strict=True):
-                        ids, own = packs.setdefault(int(s), ([], []))
-                        ids.append(doc)
-                        own.append(digest)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(packs), pa.int32()),
-                 pa.array([p[0] for p in packs.values()], pa.list_(pa.int64())),
-                 pa.array([b"".join(p[1]) for p in packs.values()], pa.binary())],
-                ["slice", "ids", "digests"])
+                own = set(line_keys(value.as_py(), least)) - {b""}
+                keys += own
+                ids += [doc] * len(own)
+                if len(keys) >= HELD:
+                    yield flush()
+                    ids, keys = [], []
+        if keys:
+            yield flush()
+
+    return docs.select(_ID, "_llm_text").mapInArrow(
+        spread, "slice int, ids array<long>, hashes binary, digests binary, n long")
+
+
+def _suspects_by_slice(docs: DataFrame, least: int, slices: int, filters: DataFrame,
+                       part_lines: int = PART_LINES) -> DataFrame:
+    """The same without a broadcast. Lines travel to their slice in packs, where the slice's filter
+    comes first and the packs follow. A slice that a frequent line makes large is dealt to
+    several parts of about ``part_lines`` lines, each with its own copy of the filter."""
+    packed = stored(_packs(docs, least, slices))
+    parts = packed.groupBy("slice").agg(
+        F.greatest(F.ceil(F.sum("n") / part_lines), F.lit(1)).cast("int").alias("parts"))
+    none = F.lit(None)
+    dealt = packed.join(parts, "slice").select(
+        "slice", F.pmod(F.xxhash64("hashes", "ids"), F.col("parts")).cast("int").alias("part"),
+        F.lit(1).alias("kind"), none.cast("binary").alias("filter"), "ids", "hashes", "digests")
+    first = filters.join(parts, "slice").select(
+        "slice", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(0).alias("kind"), "filter", none.cast("array<bigint>").alias("ids"),
+        none.cast("binary").alias("hashes"), none.cast("binary").alias("digests"))
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, twice = None, None
-        for frame in batches:
-            for s, data, ids, digests in frame.itertuples(index=False):
-                if s != current:
-                    current, twice = s, Filter.unpacked(data)
-                own = [digests[i:i + 16] for i in range(0, len(digests), 16)]
-                hits = np.flatnonzero(twice.has(_hashes(own)))
-                yield pd.DataFrame({_ID: pd.array([ids[i] for i in hits], "Int64"),
-                                    "digest": [own[i] for i in hits]})
+        for batch in batches:
+            found_ids, found = [], []
+            for i in range(batch.num_rows):
+                place = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py())
+                if batch.column(2)[i].as_py() == 0:
+                    current, twice = place, Filter.unpacked(batch.column(3)[i].as_py())
+                elif place == current:
+                    hashes = np.frombuffer(batch.column(5)[i].as_py(), dtype="<u8")
+                    ids, digests = batch.column(4)[i].as_py(), batch.column(6)[i].as_py()
+                    for h in np.flatnonzero(twice.has(hashes)):
+                        found_ids.append(ids[h])
+                        found.append(digests[16 * h:16 * h + 16])
+                # A slice without a filter has no line twice.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found_ids, pa.int64()), pa.array(found, pa.binary())], [_ID, "digest"])
 
-    packed = docs.select(_ID, "_llm_text").mapInArrow(
-        spread, "slice int, ids array<long>, digests binary")
-    return (packed.join(filters, "slice").select("slice", "filter", "ids", "digests")
-            .mapInPandas(probe, f"{_ID} long, digest binary"))
+    return (dealt.unionByName(first).repartition("slice", "part")
+            .sortWithinPartitions("slice", "part", "kind")
+            .mapInArrow(probe, f"{_ID} long, digest binary"))
 
 
 def repeated_lines(docs: DataFrame, least_characters: int, least_documents: int,
@@ -269,14 +319,16 @@ def repeated_lines(docs: DataFrame, least_characters: int, least_documents: int,
 
 def dedup_lines(docs: DataFrame, least_characters: int = LEAST_CHARACTERS,
                 least_documents: int = LEAST_DOCUMENTS, broadcast_bytes: int = BROADCAST_BYTES,
-                key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, with ``kept_text``, ``n_lines`` and ``n_dropped``.
+                key: str = "doc_id", text: str = "text",
+                names: tuple[str, str, str] = ("kept_text", "n_lines", "n_dropped")) -> DataFrame:
+    """All rows and columns of ``docs``, with ``kept_text``, ``n_lines`` and ``n_dropped``, or
+    what ``names`` calls them.
 
     A null or empty text is one empty line. Documents are told apart by ``key``: rows that
     repeat a key count as one document, and rows without one as a document before all others.
     Short keys never count. A document whose lines all go keeps its row, with an empty text.
     """
-    clash = {"kept_text", "n_lines", "n_dropped"} & set(docs.columns)
+    clash = set(names) & set(docs.columns)
     if clash:
         raise ValueError(f"columns with these names are added here: {sorted(clash)}")
     drops = repeated_lines(docs, least_characters, least_documents, broadcast_bytes, key, text)
@@ -290,23 +342,23 @@ def dedup_lines(docs: DataFrame, least_characters: int = LEAST_CHARACTERS,
                 continue
             gone = {bytes(d) for d in digests}
             lines = value.split("\n")
-            left = [x for x, d in zip(lines, _digests(value, least_characters), strict=True)
-                    if d not in gone]
+            left = [x for x, k in zip(lines, line_keys(value, least_characters), strict=True)
+                    if not k or _digest(k) not in gone]
             rows.append(("\n".join(left), len(lines) - len(left)))
         return pd.DataFrame(rows, columns=["text", "dropped"])
 
     own = docs.withColumn(_ID, F.col(key).cast("bigint"))
-    joined = own.join(drops.hint("shuffle_hash").withColumnRenamed(_ID, "_llm_drop_id"),
-                      F.col(_ID).eqNullSafe(F.col("_llm_drop_id")), "left")
+    joined = own.join(drops.select(F.col(_ID).alias("_llm_drop_id"), F.col("drops").alias(
+        "_llm_drops")).hint("shuffle_hash"), F.col(_ID).eqNullSafe(F.col("_llm_drop_id")), "left")
     value = whole_text(text)
     # Texts that lose nothing stay in the JVM.
     changed = joined.withColumn("_llm_left", without(
-        F.when(F.col("drops").isNotNull(), value), "drops"))
+        F.when(F.col("_llm_drops").isNotNull(), value), "_llm_drops"))
     return changed.select(
-        *docs.columns, F.coalesce("_llm_left.text", value).alias("kept_text"),
+        *docs.columns, F.coalesce("_llm_left.text", value).alias(names[0]),
         (F.length(value) + 1 - F.length(F.replace(value, F.lit("\n")))).cast("bigint")
-        .alias("n_lines"),
-        F.col("_llm_left.dropped").alias("n_dropped"))
+        .alias(names[1]),
+        F.col("_llm_left.dropped").alias(names[2]))
 
 
 def line_digest(docs: DataFrame) -> DataFrame:

@@ -3,8 +3,11 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from larkspur.llm.line_dedup import dedup_lines, line_digest
+from larkspur.llm.common import whole_text
+from larkspur.llm.line_dedup import (_ID, _suspects_by_slice, dedup_lines, line_digest,
+                                     twice_seen)
 from llm_data import ODD
+from pyspark.sql import functions as F
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -70,3 +73,18 @@ def test_empty_and_clashing(docs):
     assert line_digest(docs([(1, "a")]).filter("false")).collect() == []
     with pytest.raises(ValueError, match="n_lines"):
         dedup_lines(docs([(1, "a")]).withColumnRenamed("source", "n_lines"))
+
+
+def test_slices_in_parts_lose_no_repeated_line(docs):
+    rows = made(60, 3)
+    slim = docs(rows).select(F.col("doc_id").alias(_ID), whole_text().alias("_llm_text"))
+    suspects = _suspects_by_slice(slim, 20, 7, twice_seen(slim, 20, 7), part_lines=10)
+    found = Counter(r.digest for r in suspects.distinct().collect())
+    holders = defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            key = line.strip(BLANKS).encode().lower()
+            if len(key.decode()) >= 20:
+                holders[hashlib.blake2b(key, digest_size=16).digest()].add(i)
+    for digest, ids in holders.items():
+        assert len(ids) == 1 or found[digest] == len(ids)
