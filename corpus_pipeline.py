@@ -25,15 +25,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that other documents keep; ``n_chars`` follows the text."""
     prepare(spark)
-    cut = line_dedup.dedup_lines(docs)
-    columns = {"text": F.col("kept_text")}
+    left = "_llm_kept_text"
+    cut = line_dedup.dedup_lines(docs, names=(left, "_llm_n_lines", "_llm_n_dropped"))
+    columns = {"text": F.col(left)}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.length(left).cast(docs.schema["n_chars"].dataType)
     return cut.withColumns(columns).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group whose fingerprints link (three words, three bits)."""
     prepare(spark)
     return simhash.keep_one(docs)
 
