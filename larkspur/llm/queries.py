@@ -14,6 +14,7 @@ from larkspur.llm import (
     manifest,
     packing,
     quality_rules,
+    runs,
     secret_scan,
     sharding,
     simhash,
@@ -237,3 +238,54 @@ folded AS (
   LEFT JOIN ways w ON w.lang IS NOT DISTINCT FROM l.lang AND w.pos = l.pos)
 SELECT *, folded_root = root AS verified FROM folded
 """
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.run_digest(table(spark, folder, "documents"))
+
+
+#: Islands of places whose word comes again q words later, for every q that any word repeats at.
+SQL["op12_periodic_runs"] = rf"""
+WITH {CRCS},
+original AS (
+  SELECT d.doc_id, h, h // 10 AS g,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents d JOIN crcs USING (doc_id)),
+planted AS (
+  SELECT *, g % len(w) AS a, 1 + (len(w) - g % len(w)) // (3 + g % 8) AS p
+  FROM original WHERE h % 10 = 0 AND len(w) > 0),
+docs AS (
+  SELECT doc_id, w FROM original WHERE h % 10 <> 0 OR len(w) = 0
+  UNION ALL
+  SELECT doc_id, [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] FOR i IN range(len(w))]
+  FROM planted),
+words AS (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word, len(w) AS n FROM docs),
+again AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y USING (doc_id, word)
+  WHERE y.i > x.i AND 2 * (y.i - x.i) <= x.n),
+-- A run takes at least so many places with its period.
+kept AS (
+  SELECT doc_id, i, q FROM again
+  QUALIFY count(*) OVER (PARTITION BY doc_id, q) >= greatest(q, 12 - q)),
+islands AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM kept)
+  GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(12, 2 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM islands GROUP BY ALL),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept_words AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_runs,
+         min(struct_pack(x := -length, s := start, q := period)) AS best,
+         string_agg(start || ',' || length || ',' || period || chr(10), ''
+                    ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.x AS length,
+       best.q AS period, 1000 * -best.x // best.q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN found USING (doc_id) LEFT JOIN kept_words USING (doc_id)
+"""
