@@ -11,6 +11,7 @@ from larkspur.llm import (
     language,
     licenses,
     line_dedup,
+    lm,
     manifest,
     packing,
     quality_rules,
@@ -289,3 +290,8 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.x AS length
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM docs LEFT JOIN found USING (doc_id) LEFT JOIN kept_words USING (doc_id)
 """
+
+
+@_query
+def op13_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.lm_digest(table(spark, folder, "documents"))
