@@ -3,6 +3,8 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
+from larkspur.llm.queries import QUERIES, SQL
+from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -45,3 +47,22 @@ def test_empty_table_and_nulls(spark, documents):
             out = stage(spark, docs, FOLDER)
             assert out.count() <= docs.count()
         assert corpus_pipeline.identify_language(spark, docs, FOLDER).count() == 0
+
+
+def test_queries_without_sql():
+    """A trained model, XXH64 fingerprints, a tokenizer or a notice search has no SQL form."""
+    assert QUERIES.keys() - SQL.keys() == {
+        "op1_secret_scan", "op2_decontamination", "op3_language", "op4_sharding", "op5_simhash",
+        "op9_licenses", "op10_packing", "op13_lm_scoring"}
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_any_column_names_pass(spark, documents):
+    """Columns that operators add under names of their own may be in the table already."""
+    own = {c: F.lit(i) for i, c in enumerate(
+        ("n_lines", "kept_text", "n_dropped", "shard", "score", "lang_pred", "root"))}
+    docs = documents.limit(40).withColumns(own)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER).persist()
+        assert docs.columns == [*documents.columns, *own]
+        assert docs.filter("n_lines <> 0 OR kept_text <> 1").isEmpty()
