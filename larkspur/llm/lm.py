@@ -10,6 +10,8 @@ all words, an unseen one included, add up to one.
 
 * **Counts** cover all training texts: tasks count, Spark adds up. Only totals and the counts of
   at most ``KNOWN_WORDS`` words, the most frequent ones, reach the driver and the tasks.
+* **Numbers**: every text's tokens are written once as numbers of known words, beside its unknown
+  words, for all that follows.
 * **Training** reads all training texts in each of ``ROUNDS`` rounds. Every task takes its texts
   in order through noise-contrastive steps in numpy, from the parameters of the round before, and
   sends its parameters on; their mean, weighted by tokens, is the next start. So what is gathered
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ CLASSES = 1024
 DIMENSIONS = 16
 CONTEXT = 2
 #: Passes over the training texts, noise tokens and tokens of a step, and the step size.
-ROUNDS, NOISE, BATCH, RATE = 2, 32, 512, 0.1
+ROUNDS, NOISE, BATCH, RATE = 2, 32, 1024, 0.3
 #: Words whose counts every task knows.
 KNOWN_WORDS = 1 << 16
 #: Distinct words that a task counts before it hands them on.
@@ -224,6 +226,12 @@ class LanguageModel:
     def n_classes(self) -> int:
         return len(self.parameters.bias)
 
+    def shares(self) -> np.ndarray:
+        """Every class's share of the tokens, with one added to its count."""
+        own = self.known_counts[:self.n_classes].copy()
+        own[OTHER] = self.n_tokens - own[1:].sum()
+        return (own + 1.0) / (own.sum() + len(own))
+
     def share_of_base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 1.0) / (self.n_tokens + self.n_words + 1))
 
@@ -253,10 +261,9 @@ def first_model(counts: DataFrame, classes: int = CLASSES, known_words: int = KN
     frequent = [x for x in frequent_words(counts, known_words) if x[0] != END_WORD]
     known = {w: i for i, (w, _) in enumerate(frequent, 2)}
     known_counts = np.array([0, total["ends"], *(c for _, c in frequent)], dtype=np.int64)
-    own = known_counts[:classes].copy()
-    own[OTHER] = total["n"] - own[1:].sum()
-    shares = (own + 1.0) / (own.sum() + len(own))
-    return LanguageModel(Parameters.first(shares), known, known_counts, total["n"], total["v"])
+    even = np.ones(min(classes, len(known_counts)))
+    model = LanguageModel(Parameters.first(even), known, known_counts, total["n"], total["v"])
+    return replace(model, parameters=Parameters.first(model.shares()))
 
 
 def _mean(sent: DataFrame) -> DataFrame:
@@ -286,34 +293,65 @@ def _mean(sent: DataFrame) -> DataFrame:
             .mapInArrow(add, "chunk int, mean binary"))
 
 
-def train_round(docs: DataFrame, model: LanguageModel, turn: int, text: str = "text"
-                ) -> LanguageModel:
-    """One pass over all texts, in all tasks at a time, from the model's parameters."""
+def numbered_texts(docs: DataFrame, model: LanguageModel, key: str = "doc_id",
+                   text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every row's tokens, written once: the ``key`` as ``_llm_key``, the ``keep`` columns,
+    ``numbers`` (32 bits each, little-endian, the end's behind), the distinct unknown ``words``,
+    how many ``times`` each, and ``row``, which tells rows apart."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    chosen = docs.select(F.col(key).alias("_llm_key"), *keep, whole_text(text).alias("_llm_whole"))
 
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        shares = np.exp(model_shares(model))
-        training = Training(model.parameters, shares, [SEED, turn, TaskContext.get().partitionId()])
-        held, n, total = [], 0, 0
+        for batch in batches:
+            numbers, words, times = [], [], []
+            for value in batch.column(batch.num_columns - 1):
+                tokens = words_of(value.as_py())
+                own = model.numbers(tokens)
+                missing = Counter(tokens[i] for i in np.flatnonzero(own < 0).tolist())
+                numbers.append(own.astype("<i4").tobytes())
+                words.append(list(missing))
+                times.append(list(missing.values()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(numbers, pa.binary()),
+                 pa.array(words, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
+                [*batch.schema.names[:-1], "numbers", "words", "times"])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]]
+    return stored(chosen.mapInArrow(number, ", ".join(
+        [*fields, "numbers binary, words array<binary>, times array<long>"]))
+        .withColumn("row", F.monotonically_increasing_id()))
+
 
-        def learn() -> None:
-            contexts, tokens = contexts_of(held, model.n_classes)
-            order = training.rng.permutation(len(tokens))
-            for i in range(0, len(order), BATCH):
-                own = order[i:i + BATCH]
-                training.step(contexts[own], tokens[own])
+def _held(batch: pa.RecordBatch, column: int) -> Iterator[tuple[list[np.ndarray], int]]:
+    """The numbers of a batch's texts, some texts at a time, and how many there are."""
+    held, n = [], 0
+    for value in batch.column(column):
+        held.append(np.frombuffer(value.as_py(), "<i4").astype(np.int64))
+        n += len(held[-1])
+        if n >= TOKENS_AT_ONCE:
+            yield held, n
+            held, n = [], 0
+    if held:
+        yield held, n
 
+
+def train_round(texts: DataFrame, model: LanguageModel, turn: int) -> LanguageModel:
+    """One pass over all of ``numbered_texts``, in all tasks at a time, from the model's parameters."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, total = shared.value, 0
+        training = Training(model.parameters, model.shares(),
+                            [SEED, turn, TaskContext.get().partitionId()])
         for batch in batches:
-            for value in batch.column(0):
-                held.append(model.classes(model.numbers(words_of(value.as_py()))))
-                n += len(held[-1])
-                if n >= TOKENS_AT_ONCE:
-                    learn()
-                    held, n, total = [], 0, total + n
-        if held:
-            learn()
-        total += n
+            for held, n in _held(batch, 0):
+                contexts, tokens = contexts_of([model.classes(x) for x in held], model.n_classes)
+                order = training.rng.permutation(n)
+                for i in range(0, n, BATCH):
+                    own = order[i:i + BATCH]
+                    training.step(contexts[own], tokens[own])
+                total += n
         if total:
             flat = training.p.flat().astype("<f4")
             chunks = [flat[i:i + CHUNK].tobytes() for i in range(0, len(flat), CHUNK)]
@@ -322,22 +360,14 @@ def train_round(docs: DataFrame, model: LanguageModel, turn: int, text: str = "t
                  pa.array([total] * len(chunks), pa.int64()), pa.array(chunks, pa.binary())],
                 ["chunk", "n", "data"])
 
-    sent = docs.select(whole_text(text)).mapInArrow(train, "chunk int, n long, data binary")
+    sent = texts.select("numbers").mapInArrow(train, "chunk int, n long, data binary")
     # As many rows as the model has chunks, whatever the number of tasks.
     rows = sorted(_mean(sent).collect())
     shared.unpersist()
     if not rows:
         return model
     flat = np.concatenate([np.frombuffer(r["mean"], "<f4") for r in rows])
-    return LanguageModel(model.parameters.like(flat), model.known, model.known_counts,
-                         model.n_tokens, model.n_words)
-
-
-def model_shares(model: LanguageModel) -> np.ndarray:
-    """Logarithm of every class's share of the tokens, with one added to its count."""
-    own = model.known_counts[:model.n_classes].copy()
-    own[OTHER] = model.n_tokens - own[1:].sum()
-    return np.log((own + 1.0) / (own.sum() + len(own)))
+    return replace(model, parameters=model.parameters.like(flat))
 
 
 def learn(docs: DataFrame, text: str = "text", classes: int = CLASSES,
@@ -345,9 +375,15 @@ def learn(docs: DataFrame, text: str = "text", classes: int = CLASSES,
     """A model from all texts of ``docs``, and the table of their token counts."""
     counts = stored(token_counts(docs, text))
     model = first_model(counts, classes, known_words)
+    texts = numbered_texts(docs.select(F.lit(0).alias("key"), text), model, "key", text)
+    return trained(texts, model, rounds), counts
+
+
+def trained(texts: DataFrame, model: LanguageModel, rounds: int = ROUNDS) -> LanguageModel:
+    """The model after ``rounds`` passes over ``numbered_texts``."""
     for turn in range(rounds):
-        model = train_round(docs, model, turn, text)
-    return model, counts
+        model = train_round(texts, model, turn)
+    return model
 
 
 class Scorer:
@@ -375,68 +411,45 @@ class Scorer:
         scores = np.einsum("ij,ij->i", predicted[where], p.target[tokens]) + p.bias[tokens]
         return scores.astype(np.float64) - denominators[where]
 
-    def texts(self, texts: list[list[bytes]]) -> list[tuple[int, int, float, float, list[bytes]]]:
-        """Per text: tokens, known tokens, the base score and the model's score, both without the
-        shares of unknown words, and the unknown words, once for each time."""
+    def texts(self, numbers: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Arrays by text: tokens, known tokens, the base score and the model's score, both without
+        the shares of unknown words."""
         model = self.model
-        numbers = [model.numbers(words) for words in texts]
         flat = np.concatenate(numbers)
         contexts, tokens = contexts_of([model.classes(x) for x in numbers], model.n_classes)
         scores = self.class_scores(contexts, tokens) / np.log(10)
-        counted = flat >= 0
-        counts = model.known_counts[np.where(counted, flat, 0)]
-        base = np.where(counted, model.share_of_base(counts), 0.0)
-        inner = counted & (flat >= model.n_classes)
+        known = flat >= 0
+        counts = model.known_counts[np.where(known, flat, 0)]
+        base = np.where(known, model.share_of_base(counts), 0.0)
+        inner = known & (flat >= model.n_classes)
         scores += np.where(inner, np.log10((counts + 1.0) / model.rest()), 0.0)
-        ends = np.cumsum([len(x) for x in numbers])
-        starts = ends - [len(x) for x in numbers]
-        bases, sums = np.add.reduceat(base, starts), np.add.reduceat(scores, starts)
-        hits = np.add.reduceat((counted & (counts > 0)).astype(np.int64), starts)
-        out = []
-        for words, own, b, s, h in zip(texts, numbers, bases, sums, hits, strict=True):
-            missing = np.flatnonzero(own < 0)
-            out.append((len(own), int(h), float(b), float(s), [words[i] for i in missing]))
-        return out
-
+        sizes = np.array([len(x) for x in numbers])
+        starts = np.cumsum(sizes) - sizes
+        hits = (known & (counts > 0)).astype(np.int64)
+        return (sizes, *(np.add.reduceat(x, starts) for x in (hits, base, scores)))
 
-def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame, key: str = "doc_id",
-                text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``key``, the ``keep`` columns, ``n_tokens``, ``n_known`` (tokens that were counted),
-    ``train_tokens``, ``base_score`` and ``score`` of every row.
 
-    Null and empty texts have one token, the end. Rows that repeat a key are scored each for
-    itself. No rows give no rows; a model of no texts gives every word the same share.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    chosen = docs.select(F.col(key).alias("_llm_key"), *keep, whole_text(text).alias("_llm_whole"))
+def score_numbered(texts: DataFrame, model: LanguageModel, counts: DataFrame, key: str = "doc_id",
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """``score_texts`` for ``numbered_texts``."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    names = ["n", "hits", "base", "own"]
+    chosen = texts.select("row", "_llm_key", *keep, "numbers")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            rows, held, n = [], [], 0
-            for value in batch.column(batch.num_columns - 1):
-                held.append(words_of(value.as_py()))
-                n += len(held[-1]) + 1
-                if n >= TOKENS_AT_ONCE:
-                    rows += scorer.texts(held)
-                    held, n = [], 0
-            if held:
-                rows += scorer.texts(held)
-            missing = [Counter(r[4]) for r in rows]
-            new = [*zip(*(r[:4] for r in rows), strict=True)] or [()] * 4
+            parts = [scorer.texts(held) for held, _ in _held(batch, batch.num_columns - 1)]
+            new = [np.concatenate(c) for c in zip(*parts, strict=True)] or [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1],
-                 *(pa.array(c, k) for c, k in zip(
-                     new, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)),
-                 pa.array([list(m) for m in missing], pa.list_(pa.binary())),
-                 pa.array([list(m.values()) for m in missing], pa.list_(pa.int64()))],
-                [*batch.schema.names[:-1], "n", "hits", "base", "own", "words", "times"])
+                [*batch.columns[:-1], *(pa.array(c, k) for c, k in zip(new, kinds, strict=True))],
+                [*batch.schema.names[:-1], *names])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]]
-    partly = stored(chosen.mapInArrow(score, ", ".join(
-        [*fields, "n long, hits long, base double, own double, words array<binary>, "
-                  "times array<long>"])).withColumn("row", F.monotonically_increasing_id()))
-    rare = partly.select("row", F.inline(F.arrays_zip("words", "times")))
+    partly = chosen.mapInArrow(score, ", ".join(
+        [*fields, "n long, hits long, base double, own double"]))
+    rare = texts.select("row", F.inline(F.arrays_zip("words", "times")))
     c = F.coalesce("c", F.lit(0))
     # The counts have one row a word, so a word that many texts have is split like a skewed join.
     looked_up = rare.join(counts.select(F.col("word").alias("words"), "c"), "words", "left")
@@ -449,13 +462,24 @@ def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame, key: s
     def both(a: str, b: str) -> Column:
         return F.col(a) + F.coalesce(b, F.lit(0))
 
-    return partly.drop("words", "times").join(rest, "row", "left").select(
+    return partly.join(rest, "row", "left").select(
         F.col("_llm_key").alias(key), *keep, F.col("n").alias("n_tokens"),
         both("hits", "more_hits").alias("n_known"),
         F.lit(model.n_tokens).cast("bigint").alias("train_tokens"),
         both("base", "more_base").alias("base_score"), both("own", "more_own").alias("score"))
 
 
+def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame, key: str = "doc_id",
+                text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, the ``keep`` columns, ``n_tokens``, ``n_known`` (tokens that were counted),
+    ``train_tokens``, ``base_score`` and ``score`` of every row.
+
+    Null and empty texts have one token, the end. Rows that repeat a key are scored each for
+    itself. No rows give no rows; a model of no texts gives every word the same share.
+    """
+    return score_numbered(numbered_texts(docs, model, key, text, keep), model, counts, key, keep)
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Whether a row is kept from training: CRC-32 of the key as text leaves 2 modulo 7. Rows
     without a key are not held out."""
@@ -465,5 +489,8 @@ def held_out(key: str = "doc_id") -> Column:
 def lm_digest(docs: DataFrame) -> DataFrame:
     """Scores of all documents by a model that the held-out ones had no part in."""
     marked = docs.select("doc_id", "text", held_out().alias("held_out"))
-    model, counts = learn(marked.filter("NOT held_out"))
-    return score_texts(marked, model, counts, keep=("held_out",))
+    counts = stored(token_counts(marked.filter("NOT held_out")))
+    model = first_model(counts)
+    texts = numbered_texts(marked, model, keep=("held_out",))
+    model = trained(texts.filter("NOT held_out"), model)
+    return score_numbered(texts, model, counts, keep=("held_out",))
