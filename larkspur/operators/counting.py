@@ -82,10 +82,17 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal slices between minimum and maximum, the last one closed.
 
-    Columns: ``bin`` (from 0), ``n``. Empty bins are left out.
+    Columns: ``bin`` (from 0), ``n``. Empty bins are left out; nulls count as the lowest value.
+
+    Equal values are counted first. Bounds and bins are then both taken from these counts, so
+    ``df`` itself is worked out once, and what the second pass reads has a row per distinct value.
     """
-    bounds = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
+    counts = count_by(df.select(F.col(column).alias("v")), "v")
+    # Naming the count keeps it in this aggregate, which makes its shuffle the same as the one below.
+    seen = F.when(F.col("n") > 0, F.col("v"))
+    bounds = counts.agg(F.struct(F.min(seen).alias("low"), F.max(seen).alias("high"))).scalar()
     low, high = bounds.getField("low"), bounds.getField("high")
-    place = F.floor(F.try_divide(F.col(column) - low, high - low) * bins)
+    place = F.floor(F.try_divide(F.col("v") - low, high - low) * bins)
     bin_number = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int")
-    return count_by(df.select(bin_number.alias("bin")), "bin")
+    return (counts.select(bin_number.alias("bin"), "n").groupBy("bin")
+            .agg(F.sum("n").alias("n")))

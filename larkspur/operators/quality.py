@@ -6,15 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.similarity import (
-    Vectors, all_pairs_summary, candidate_count, pair_scores, similar_pairs)
+    EDGE_DECIMALS, Vectors, all_pairs_summary, candidate_count, pair_scores, similar_pairs)
 
 # Number of thresholds, and of histogram bins (the last one is score 1).
 THRESHOLDS, BINS = 100, 101
 
 
+def steady(score: Column) -> Column:
+    """A score as it is compared with the edges of bins and with thresholds: the order in which a
+    sum was taken must not move it over one."""
+    return F.round(score, EDGE_DECIMALS)
+
+
 def score_bin(score: Column) -> Column:
     """Truncated hundredths of a score."""
-    return (score * THRESHOLDS).cast("int")
+    return (steady(score) * THRESHOLDS).cast("int")
 
 
 def duplicate_averages(vectors: Vectors, left: DataFrame, right: DataFrame,
@@ -82,7 +88,7 @@ def quality_curve(histogram: DataFrame, gold_scores: DataFrame) -> DataFrame:
     all thresholds in one aggregate; the running sums then go over a hundred rows.
     """
     spark = histogram.sparkSession
-    missed = gold_scores.groupBy(missed_from(F.col("score")).alias("step")).agg(
+    missed = gold_scores.groupBy(missed_from(steady(F.col("score"))).alias("step")).agg(
         F.sum("times").alias("missed"))
     matches = gold_scores.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n")).scalar()
     steps = (spark.range(BINS).select(F.col("id").cast("int").alias("step"))

@@ -22,13 +22,16 @@ from larkspur.session import stored
 
 # Records of one token that meet in one task: at most about this many from each side.
 BLOCK = 4096
-# A token held by more right-hand vectors than this is counted with bitmaps, not pairs.
-BITMAP_ABOVE = 64
-# Vectors per bitmap slice; Spark's bitmaps hold 32,768 bits.
-SLICE, BITMAP_BITS = 16_384, 32_768
-# Decimals of a score. The same sum taken in another order differs far behind them, so a
-# score on the edge of a bin or threshold stays on one side of it from run to run.
-SCORE_DECIMALS = 12
+# Pairs that one copy of a record's vector serves.
+PAIRS_PER_CELL = 4096
+# Of one token, more vectors of a slice than this are held as a bitmap, fewer as a list. Spark's
+# bitmaps take 4 KB whatever they hold, which 256 rows of a list take up, too.
+LISTED = 256
+# Vectors per slice, bits of a bitmap, and slices that meet a token's left side in one task.
+SLICE, BITMAP_BITS, SLICES_PER_CELL = 16_384, 32_768, 64
+# The same sum taken in another order differs far behind this many decimals, so comparing
+# rounded scores with an edge gives the same answer from run to run.
+EDGE_DECIMALS = 12
 # Slack for sums of doubles in comparisons that may only keep too much, never too little.
 SLACK = 1e-9
 
@@ -122,10 +125,9 @@ def text_pair_scores(pairs: DataFrame, idf: DataFrame,
 class Vectors:
     """Unit vectors of two record sets, as far as their tokens occur on both sides.
 
-    ``left``/``right``: ``id``, ``copies``, ``token``, ``unit``, ``tail``, ``left_df``,
-    ``right_df``. ``unit`` is the weight divided by the vector's norm; ``tail`` is the
-    length of the part of the vector from this token on, most frequent token last;
-    the two counts say how many distinct vectors of each side hold the token.
+    ``left``/``right``: ``id``, ``copies``, ``token`` (a number), ``unit``, ``tail``. ``unit`` is
+    the weight divided by the vector's norm; ``tail`` is the length of the part of the vector
+    from this token on, most frequent token last.
 
     Norms and tails cover all tokens of a record.
 
@@ -166,30 +168,42 @@ def _distinct_vectors(records: DataFrame, stopwords: Iterable[str]) -> DataFrame
     return counted.select("id", "copies", "token", (F.col("n") / F.col("n_tokens")).alias("tf"))
 
 
-def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] = ()) -> Vectors:
-    """Unit vectors of both sides.
-
-    Term frequencies and vectors are each written once: the frequencies feed both the
-    idf and the weights, the vectors feed every search and summary built on them.
-    """
-    stopwords = tuple(stopwords)
-    frequencies = stored(
-        _distinct_vectors(left, stopwords).withColumn("side", F.lit("left"))
-        .unionByName(_distinct_vectors(right, stopwords).withColumn("side", F.lit("right"))))
-
-    n_records = total_rows(left) + total_rows(right)
-    idf = frequencies.groupBy("token").agg(
+def _token_counts(frequencies: DataFrame) -> DataFrame:
+    """``token``, ``df`` over all records, and the distinct vectors of each side that hold it."""
+    return frequencies.groupBy("token").agg(
         F.sum("copies").alias("df"),
         F.count_if(F.col("side") == "left").alias("left_df"),
         F.count_if(F.col("side") == "right").alias("right_df"))
+
+
+def _weighted(frequencies: DataFrame, idf: DataFrame, n_records: Column) -> DataFrame:
     # One idf row per token: each task's share fits a hash table, and nothing is sorted.
     # A token has at most one row per distinct text, so even one found everywhere is a
     # small part of all rows; adaptive execution splits its partition if it is large.
-    weighted = frequencies.join(idf.hint("shuffle_hash"), "token").withColumn(
+    return frequencies.join(idf.hint("shuffle_hash"), "token").withColumn(
         "weight", F.col("tf") * (n_records / F.col("df")))
 
+
+def _both_sides(left: DataFrame, right: DataFrame, stopwords: Iterable[str]) -> DataFrame:
+    """Term frequencies of the distinct texts of both sides, with ``side``."""
+    return (_distinct_vectors(left, stopwords).withColumn("side", F.lit("left"))
+            .unionByName(_distinct_vectors(right, stopwords).withColumn("side", F.lit("right"))))
+
+
+def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] = ()) -> Vectors:
+    """Unit vectors of both sides.
+
+    Term frequencies and vectors are each written once: the frequencies feed both the
+    idf and the weights, the vectors feed every search and summary built on them.
+    """
+    stopwords = tuple(stopwords)
+    frequencies = stored(_both_sides(left, right, stopwords))
+    idf = stored(_token_counts(frequencies).withColumn(
+        "number", F.monotonically_increasing_id()))
+    weighted = _weighted(frequencies, idf, total_rows(left) + total_rows(right))
+
     # A record's tokens are one text's tokens, so this window never holds more than a text.
-    rare_last = Window.partitionBy("side", "id").orderBy(F.desc("df"), F.desc("token"))
+    rare_last = Window.partitionBy("side", "id").orderBy(F.desc("df"), F.desc("number"))
     square = F.col("weight") * F.col("weight")
     whole = rare_last.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = rare_last.rowsBetween(Window.unboundedPreceding, 0)
@@ -197,60 +211,111 @@ def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] =
                .withColumn("up_to", F.sqrt(F.sum(square).over(so_far))))
     # Norms and tails are done: tokens that only one side has cannot meet any more.
     vectors = stored(lengths.filter("left_df > 0 AND right_df > 0").select(
-        "side", "id", "copies", "token", (F.col("weight") / F.col("norm")).alias("unit"),
-        (F.col("up_to") / F.col("norm")).alias("tail"), "left_df", "right_df"))
+        "side", "id", "copies", F.col("number").alias("token"),
+        (F.col("weight") / F.col("norm")).alias("unit"),
+        (F.col("up_to") / F.col("norm")).alias("tail")))
     return Vectors(vectors.filter("side = 'left'").drop("side"),
                    vectors.filter("side = 'right'").drop("side"),
                    record_ids(left), record_ids(right))
 
 
-def _blocks(vectors: DataFrame, side: str) -> DataFrame:
-    """Cut every token's vectors into blocks, and copy each row to the blocks of the other
-    side it has to meet: a token held by l and r vectors becomes a grid of
-    ceil(l/BLOCK) x ceil(r/BLOCK) join keys instead of one. Rare tokens have one cell."""
-    own, other = ("left", "right") if side == "left" else ("right", "left")
-    own_blocks = F.ceil(F.col(f"{own}_df") / BLOCK)
-    other_blocks = F.ceil(F.col(f"{other}_df") / BLOCK)
-    return (vectors
-            .withColumn(f"{own}_block", F.pmod(F.xxhash64("id"), own_blocks).cast("int"))
-            .withColumn(f"{other}_block",
-                        F.explode(F.sequence(F.lit(0), (other_blocks - 1).cast("int")))))
-
-
-def _meeting(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Token join of two sides, block by block: ``left_id``, ``right_id``, ``product``."""
-    a = _blocks(left, "left").select(
-        "token", "left_block", "right_block", F.col("id").alias("left_id"),
-        F.col("copies").alias("left_copies"), F.col("unit").alias("left_unit"))
-    b = _blocks(right, "right").select(
-        "token", "left_block", "right_block", F.col("id").alias("right_id"),
-        F.col("copies").alias("right_copies"), F.col("unit").alias("right_unit"))
-    return a.join(b, ["token", "left_block", "right_block"]).select(
+def head_cells(vectors: Vectors, least_tail: float = 0.0) -> DataFrame:
+    """The rows of both sides that may meet in a token, each once for every cell it has to meet
+    the other side in: ``side``, ``token``, ``left_block``, ``right_block``, ``id``, ``copies``,
+    ``unit``.
+
+    Only heads take part, the rows up to where the rest of a vector is shorter than
+    ``least_tail``. A token held by l heads of the left and r of the right becomes a grid of
+    ceil(l/BLOCK) x ceil(r/BLOCK) cells instead of one join key, and a row is only copied to
+    cells that hold rows of the other side. Rare tokens have one cell.
+    """
+    def heads(df: DataFrame, side: str) -> DataFrame:
+        return df.filter(F.col("tail") >= least_tail - SLACK).select(
+            F.lit(side).alias("side"), "token", "id", "copies", "unit")
+
+    rows = heads(vectors.left, "left").unionByName(heads(vectors.right, "right"))
+    on_left = F.col("side") == "left"
+    grid = rows.groupBy("token").agg(
+        F.ceil(F.count_if(on_left) / BLOCK).alias("left_blocks"),
+        F.ceil(F.count_if(~on_left) / BLOCK).alias("right_blocks"),
+    ).filter("left_blocks > 0 AND right_blocks > 0")
+    placed = rows.join(grid.hint("shuffle_hash"), "token").withColumn("own", F.pmod(
+        F.xxhash64("id"), F.when(on_left, F.col("left_blocks")).otherwise(F.col("right_blocks"))))
+    # Few tokens have more than one block, and few of their blocks can be empty.
+    taken = (placed.filter("left_blocks > 1 OR right_blocks > 1").groupBy("token").agg(
+        F.collect_set(F.when(on_left, F.col("own"))).alias("lefts"),
+        F.collect_set(F.when(~on_left, F.col("own"))).alias("rights")))
+    one = F.array(F.lit(0).cast("bigint"))
+    met = (placed.join(taken, "token", "left")
+           .withColumn("other", F.explode(F.coalesce(
+               F.when(on_left, F.col("rights")).otherwise(F.col("lefts")), one))))
+    return met.select("side", "token",
+                      F.when(on_left, F.col("own")).otherwise(F.col("other")).alias("left_block"),
+                      F.when(on_left, F.col("other")).otherwise(F.col("own")).alias("right_block"),
+                      "id", "copies", "unit")
+
+
+def _meeting(vectors: Vectors, least_tail: float) -> DataFrame:
+    """Token join of the two sides' heads, cell by cell: ``left_id``, ``right_id``, ``product``."""
+    cells = head_cells(vectors, least_tail)
+
+    def side(name: str) -> DataFrame:
+        return cells.filter(F.col("side") == name).select(
+            "token", "left_block", "right_block",
+            *(F.col(c).alias(f"{name}_{c}") for c in ("id", "copies", "unit")))
+
+    return side("left").join(side("right"), ["token", "left_block", "right_block"]).select(
         "left_id", "right_id", "left_copies", "right_copies",
         (F.col("left_unit") * F.col("right_unit")).alias("product"))
 
 
-def _score(products: Column) -> Column:
-    return F.round(F.sum(products), SCORE_DECIMALS)
+def with_vectors(pairs: DataFrame, rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
+    """``pairs`` with the vectors of the records in column ``own``, each as one array ``name`` of
+    (token, unit) in the order of tokens. Pairs whose record has no vector drop out.
+
+    How many pairs a record is in is counted first. One in many pairs has its vector copied, a
+    copy for every ``PAIRS_PER_CELL`` pairs, and its pairs are dealt to the copies, so a record
+    found in all pairs is spread over many tasks.
+    """
+    hot = (pairs.groupBy(own).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_CELL).alias("cells"))
+           .filter("cells > 1"))
+    dealt = pairs.join(hot, own, "left").withColumn(
+        "cell", F.pmod(F.xxhash64(other), F.coalesce("cells", F.lit(1)))).drop("cells")
+    packed = rows.groupBy(F.col("id").alias(own)).agg(
+        F.sort_array(F.collect_list(F.struct("token", "unit"))).alias(name))
+    copied = packed.join(hot, own, "left").select(own, name, F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.coalesce("cells", F.lit(1)) - 1)).alias("cell"))
+    return dealt.join(copied, [own, "cell"]).drop("cell")
+
+
+def _merged_product(a: Column, b: Column) -> Column:
+    """Dot product of two packed vectors, by going through both in the order of tokens."""
+    start = F.struct(F.lit(-1).cast("bigint").alias("token"), F.lit(0.0).alias("unit"),
+                     F.lit(0.0).alias("dot"))
+
+    def take(done: Column, x: Column) -> Column:
+        product = F.when(x.token == done.token, x.unit * done.unit).otherwise(0.0)
+        return F.struct(x.token.alias("token"), x.unit.alias("unit"),
+                        (done.dot + product).alias("dot"))
 
+    return F.aggregate(F.sort_array(F.concat(a, b)), start, take).dot
 
-def _dot_products(wanted: DataFrame, vectors: Vectors) -> DataFrame:
-    """Exact scores of the given (left_id, right_id) vector pairs that share a token."""
-    a = vectors.left.select(F.col("id").alias("left_id"), "token",
-                            F.col("copies").alias("left_copies"),
-                            F.col("unit").alias("left_unit"))
-    b = vectors.right.select(F.col("id").alias("right_id"), "token",
-                             F.col("copies").alias("right_copies"),
-                             F.col("unit").alias("right_unit"))
-    return (wanted.select("left_id", "right_id").join(a, "left_id")
-            .join(b, ["right_id", "token"])
-            .groupBy("left_id", "right_id")
-            .agg(_score(F.col("left_unit") * F.col("right_unit")).alias("score"),
-                 F.max("left_copies").alias("left_copies"),
-                 F.max("right_copies").alias("right_copies")))
 
+def vector_scores(pairs: DataFrame, vectors: Vectors) -> DataFrame:
+    """``pairs`` of vectors (``left_id`` and ``right_id``, each pair once) with their ``score``.
+    Only one packed vector per side and pair travels, and the product is taken row by row."""
+    left = with_vectors(pairs, vectors.left, "left_id", "right_id", "left_vector")
+    both = with_vectors(left, vectors.right, "right_id", "left_id", "right_vector")
+    return both.withColumn("score", _merged_product(
+        F.col("left_vector"), F.col("right_vector"))).drop("left_vector", "right_vector")
 
-def similar_pairs(vectors: Vectors, min_score: float = 0.0) -> DataFrame:
+
+def reaches(score: Column, least: float) -> Column:
+    """Whether a score is ``least`` or more, whatever the order its sum was taken in."""
+    return F.round(score, EDGE_DECIMALS) >= least
+
+
+def similar_pairs(vectors: Vectors, min_score: float) -> DataFrame:
     """All vector pairs with a shared token and a cosine of at least ``min_score``:
     ``left_id``, ``right_id``, ``score``, ``left_copies``, ``right_copies``.
 
@@ -259,19 +324,17 @@ def similar_pairs(vectors: Vectors, min_score: float = 0.0) -> DataFrame:
     order rare to frequent token, where the rest is shorter than half of ``min_score``.
     Tokens outside both heads can add less than that half to a score, so a pair that
     reaches ``min_score`` must collect at least the other half from tokens in both heads.
-    Only pairs that do are scored in full.
+    Pairs that do are written once, and in a second pass scored in full.
     """
     columns = ["left_id", "right_id", "score", "left_copies", "right_copies"]
     half = min_score / 2
-    head = F.col("tail") >= half - SLACK
-    met = (_meeting(vectors.left.filter(head), vectors.right.filter(head))
-           .groupBy("left_id", "right_id")
-           .agg(_score(F.col("product")).alias("score"), F.max("left_copies").alias("left_copies"),
+    met = (_meeting(vectors, half).groupBy("left_id", "right_id")
+           .agg(F.sum("product").alias("score"), F.max("left_copies").alias("left_copies"),
                 F.max("right_copies").alias("right_copies")))
     if min_score <= 0:
         return met.select(columns)
-    promising = met.filter(F.col("score") >= half - SLACK)
-    return (_dot_products(promising, vectors).filter(F.col("score") >= min_score)
+    promising = stored(met.filter(F.col("score") >= half - SLACK).drop("score"))
+    return (vector_scores(promising, vectors).filter(reaches(F.col("score"), min_score))
             .select(columns))
 
 
@@ -295,16 +358,41 @@ def pair_scores(pairs: DataFrame, vectors: Vectors, keep_unknown: bool = False)
                                        F.col("vector_id").alias("left_vector"))
     right_ids = vectors.right_ids.select(F.col("id").alias("right_id"),
                                          F.col("vector_id").alias("right_vector"))
-    a = vectors.left.select(F.col("id").alias("left_vector"), "token",
-                            F.col("unit").alias("left_unit"))
-    b = vectors.right.select(F.col("id").alias("right_vector"), "token",
-                             F.col("unit").alias("right_unit"))
-    given = (pairs.groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("times"))
-             .join(left_ids, "left_id", how).join(right_ids, "right_id", how))
-    met = (given.join(a, "left_vector", "left").join(b, ["right_vector", "token"], "left"))
-    product = F.col("left_unit") * F.col("right_unit")
-    return met.groupBy("left_id", "right_id").agg(
-        F.coalesce(_score(product), F.lit(0.0)).alias("score"), F.max("times").alias("times"))
+    given = stored(pairs.groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("times"))
+                   .join(left_ids, "left_id", how).join(right_ids, "right_id", how))
+    # Records with equal texts share a vector: each pair of vectors is scored once.
+    met = given.filter("left_vector IS NOT NULL AND right_vector IS NOT NULL").select(
+        F.col("left_vector").alias("left_id"), F.col("right_vector").alias("right_id")).distinct()
+    scored = vector_scores(met, vectors).select(
+        F.col("left_id").alias("left_vector"), F.col("right_id").alias("right_vector"), "score")
+    return given.join(scored, ["left_vector", "right_vector"], "left").select(
+        "left_id", "right_id", F.coalesce("score", F.lit(0.0)).alias("score"), "times")
+
+
+def score_of(left: DataFrame, right: DataFrame, left_id: object, right_id: object,
+             stopwords: Iterable[str] = ()) -> DataFrame:
+    """The score of one left and one right record, one row ``score``, 0 where they share no
+    token; no row when either is absent.
+
+    Only these two records get weights. All others are read for one thing, how many of them
+    hold the tokens of the two.
+    """
+    stopwords = tuple(stopwords)
+    def record(records: DataFrame, which: object, name: str) -> DataFrame:
+        return records.filter(F.col("id") == which).select(
+            F.lit(0).alias("key"), F.col("text").alias(name))
+
+    pair = record(left, left_id, "left_text").join(record(right, right_id, "right_text"), "key")
+    own = pair.select(F.explode(F.array_distinct(F.concat(
+        tokens_without(F.col("left_text"), stopwords),
+        tokens_without(F.col("right_text"), stopwords)))).alias("token")).distinct()
+    corpus = left.select("text").unionByName(right.select("text"))
+    held = corpus.select(F.explode(F.array_distinct(
+        tokens_without(F.col("text"), stopwords))).alias("token")).join(own, "token", "left_semi")
+    idf = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).withColumn(
+        "idf", total_rows(corpus) / F.col("df"))
+    return text_pair_scores(pair, idf, stopwords).select(
+        F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def look_up(scores: DataFrame, left_id: object, right_id: object) -> DataFrame:
@@ -319,52 +407,109 @@ def all_pairs_summary(vectors: Vectors, left: DataFrame, right: DataFrame) -> Da
     The sum over all pairs of sum over tokens equals the sum over tokens of the two
     sides' totals multiplied, so no pair is ever formed.
     """
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy("token").agg(F.sum(F.col("copies") * F.col("unit")).alias(tag))
+    units = (vectors.left.withColumn("side", F.lit("left"))
+             .unionByName(vectors.right.withColumn("side", F.lit("right"))))
+    return _summary(units, left, right)
 
-    total = (side(vectors.left, "a")
-             .join(side(vectors.right, "b"), "token")
+
+def records_summary(left: DataFrame, right: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
+    """``all_pairs_summary`` of two record sets whose vectors nothing else needs. A record's weights
+    come together once, for its norm, and go on as units; nothing is ordered by token."""
+    frequencies = stored(_both_sides(left, right, tuple(stopwords)))
+    weighted = _weighted(frequencies, _token_counts(frequencies),
+                         total_rows(left) + total_rows(right))
+    square = F.col("weight") * F.col("weight")
+    packed = weighted.groupBy("side", "id", "copies").agg(
+        F.sqrt(F.sum(square)).alias("norm"),
+        # Only tokens of both sides go on.
+        F.collect_list(F.when((F.col("left_df") > 0) & (F.col("right_df") > 0),
+                              F.struct("token", "weight"))).alias("entries"))
+    units = packed.select("side", "copies", "norm", F.inline("entries")).withColumn(
+        "unit", F.col("weight") / F.col("norm"))
+    return _summary(units, left, right)
+
+
+def _summary(units: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    own = F.col("copies") * F.col("unit")
+    total = (units.groupBy("token")
+             .agg(F.sum(F.when(F.col("side") == "left", own)).alias("a"),
+                  F.sum(F.when(F.col("side") == "right", own)).alias("b"))
              .agg(F.coalesce(F.sum(F.col("a") * F.col("b")), F.lit(0.0)).alias("sum_score")))
     counted = total.withColumn("pairs", total_rows(left) * total_rows(right))
     return counted.select("pairs", "sum_score",
                           F.try_divide("sum_score", "pairs").alias("mean_score"))
 
 
-def candidate_count(vectors: Vectors) -> DataFrame:
-    """How many record pairs share at least one token, one row ``candidate_pairs``.
+def containers(vectors: Vectors) -> tuple[DataFrame, DataFrame]:
+    """The right side by token and slice, in two forms. Lists: ``token``, ``slice``, ``power``,
+    ``bits``, the places of at most ``LISTED`` vectors. Bitmaps: the same, as one bitmap of more.
 
-    Right-hand vectors get a slice and a bit. A frequent token carries one bitmap per
-    slice; a rare one lists its few vectors. Per left vector the bitmaps are merged and
-    counted, so a token held by a third of all records costs one bit per pair and step
-    instead of one row. Copies on the right are counted by splitting their number into
-    powers of two, each with its own bitmap.
+    Every right-hand vector has a slice and a place in it. Copies are counted by splitting their
+    number into powers of two, each with containers of its own.
     """
-    right = vectors.right
-    left = vectors.left.select("id", "copies", "token", "right_df")
+    right = vectors.right.select("id", "copies", "token")
     members = right.select("id").distinct()
     slices = F.greatest(F.ceil(total_rows(members) / SLICE), F.lit(1))
     sliced = members.withColumn("part", F.pmod(F.xxhash64("id"), slices))
     place = F.row_number().over(Window.partitionBy("part").orderBy("id")) - 1
-    # A slice that drew more vectors than a bitmap has bits simply continues in a second one.
-    placed = sliced.withColumn("place", place).select(
-        "id", F.struct("part", F.floor(F.col("place") / BITMAP_BITS).alias("more")).alias("slice"),
+    # A slice that drew more vectors than a bitmap has bits goes on in further slices, whose
+    # numbers lie above those of all parts.
+    more = F.floor(place / BITMAP_BITS)
+    placed = sliced.withColumn("place", place).withColumn("more", more).select(
+        "id", (F.col("part") + F.col("more") * slices).alias("slice"),
         (F.col("place") % BITMAP_BITS).cast("bigint").alias("bit"))
     powers = F.filter(F.sequence(F.lit(0), F.floor(F.log2("copies")).cast("int")),
                       lambda p: F.call_function("shiftright", F.col("copies"), p).bitwiseAND(1) == 1)
-    located = (right.select("id", "copies", "token", "right_df").join(placed, "id")
-               .select("token", "right_df", "slice", "bit", F.explode(powers).alias("power")))
-
-    frequent = F.col("right_df") > BITMAP_ABOVE
-    token_maps = (located.filter(frequent).groupBy("token", "slice", "power")
-                  .agg(F.bitmap_construct_agg("bit").alias("bits")))
-    by_map = (left.filter(frequent).select("id", "copies", "token").join(token_maps, "token")
-              .select("id", "copies", "slice", "power", "bits"))
-    by_pair = (left.filter(~frequent).select("id", "copies", "token")
-               .join(located.filter(~frequent).select("token", "slice", "power", "bit"), "token")
-               .groupBy("id", "copies", "slice", "power")
-               .agg(F.bitmap_construct_agg("bit").alias("bits")))
-    merged = (by_map.unionByName(by_pair).groupBy("id", "copies", "slice", "power")
-              .agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("vectors")))
+    located = right.join(placed, "id").select("token", "slice", "bit", F.explode(powers).alias("power"))
+    held = stored(located.groupBy("token", "slice", "power").agg(F.collect_list("bit").alias("bits")))
+    listed = held.filter(F.size("bits") <= LISTED)
+    mapped = (held.filter(F.size("bits") > LISTED)
+              .select("token", "slice", "power", F.explode("bits").alias("bit"))
+              .groupBy("token", "slice", "power").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    return listed, mapped
+
+
+def _meeting_containers(vectors: Vectors, held: DataFrame) -> DataFrame:
+    """Left-hand vectors with the containers of their tokens: ``id``, ``copies``, ``slice``, ``power``,
+    ``bits``. A token's containers meet its left side in cells of at most about ``BLOCK`` vectors
+    and ``SLICES_PER_CELL`` slices."""
+    group = F.floor(F.col("slice") / SLICES_PER_CELL)
+    left = vectors.left.select("id", "copies", "token")
+    # Only tokens that have containers of this form, and the groups of slices these lie in.
+    groups = held.groupBy("token").agg(F.collect_set(group).alias("groups"))
+    blocks = left.join(groups, "token").groupBy("token", "groups").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    rows = (left.join(blocks, "token")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+            .select("id", "copies", "token", "block", F.explode("groups").alias("group")))
+    right = (held.join(blocks.select("token", "blocks"), "token")
+             .select("token", "slice", "power", "bits", group.alias("group"), F.explode(F.sequence(
+                 F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block")))
+    return rows.join(right, ["token", "block", "group"]).select(
+        "id", "copies", "slice", "power", "bits")
+
+
+def candidate_count(vectors: Vectors) -> DataFrame:
+    """How many record pairs share at least one token, one row ``candidate_pairs``.
+
+    A frequent token's vectors are one bit each in a bitmap per slice; per left vector the
+    bitmaps are merged and counted. What lists add are single places; those that no merged bitmap
+    has are counted once. So a token held by a third of all records costs one bit per pair
+    instead of a row, and a token held by few costs no bitmap.
+    """
+    listed, mapped = containers(vectors)
+    keys = ["id", "copies", "slice", "power"]
+    merged = stored(_meeting_containers(vectors, mapped).groupBy(keys).agg(
+        F.bitmap_or_agg("bits").alias("bits")))
+    places = (_meeting_containers(vectors, listed)
+              .select(*keys, F.explode("bits").alias("bit")).distinct())
+    byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    in_map = F.call_function("shiftright", byte.cast("int"),
+                             (F.col("bit") % 8).cast("int")).bitwiseAND(1) == 1
+    alone = (places.join(merged, keys, "left")
+             .filter(F.col("bits").isNull() | ~in_map)
+             .groupBy(keys).agg(F.count(F.lit(1)).alias("vectors")))
+    counted = merged.select(*keys, F.bitmap_count("bits").alias("vectors")).unionByName(alone)
     weight = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("power"))
     pairs = F.sum(F.col("copies") * F.col("vectors") * weight)
-    return merged.agg(F.coalesce(pairs, F.lit(0)).alias("candidate_pairs"))
+    return counted.agg(F.coalesce(pairs, F.lit(0)).alias("candidate_pairs"))

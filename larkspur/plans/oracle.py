@@ -97,6 +97,11 @@ SQL["log_status_counts"] = f"""
 SELECT count(*) AS lines_read, count(*) FILTER (NOT ({t.BROKEN})) AS lines_parsed,
        CAST(0 AS BIGINT) AS header_lines, count(*) FILTER ({t.BROKEN}) AS lines_failed
 FROM events"""
+SQL["log_ingest_metrics"] = f"""
+SELECT count(*) FILTER (NOT ({t.BROKEN})) AS rows_kept, count(*) AS lines_read,
+       count(*) FILTER (NOT ({t.BROKEN})) AS lines_parsed, CAST(0 AS BIGINT) AS header_lines,
+       count(*) FILTER ({t.BROKEN}) AS lines_failed
+FROM events"""
 SQL["content_size_stats"] = _logs("""
 SELECT CAST(sum(content_size) // count(*) AS BIGINT) AS avg_size,
        min(content_size) AS min_size, max(content_size) AS max_size FROM logs""")

@@ -19,7 +19,8 @@ from larkspur.operators.lines import number_rows
 from larkspur.plans import matching, movies as film, tables as t, traffic, words
 from larkspur.session import stored
 from larkspur.sources import ratings as rating_source, records as record_source
-from larkspur.sources.lines import accepted, ingest_counts, rejected, rejected_sample
+from larkspur.sources.lines import (
+    accepted, ingest_counts, ingest_once, rejected, rejected_sample)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,6 +178,14 @@ def log_status_counts(spark, folder):
     return ingest_counts(t.parsed_log(spark, folder), failed_status=0)
 
 
+@query
+def log_ingest_metrics(spark, folder):
+    """Lines counted while the log was read once, beside the rows that this read kept."""
+    done = ingest_once(t.parsed_log(spark, folder), failed_status=0)
+    return done.rows.agg(F.count(F.lit(1)).alias("rows_kept")).select(
+        "rows_kept", *(F.lit(n).cast("bigint").alias(name) for name, n in done.counts.items()))
+
+
 @query
 def content_size_stats(spark, folder):
     return traffic.content_size_stats(t.logs(spark, folder))
@@ -425,7 +434,7 @@ def candidate_pairs(spark, folder):
 @query
 def cartesian_summary(spark, folder):
     """Mean similarity over all left-right pairs."""
-    return rounded(sim.all_pairs_summary(_vectors(spark, folder), *_sides(spark, folder)),
+    return rounded(sim.records_summary(*_sides(spark, folder), t.STOPWORDS),
                    "sum_score", "mean_score")
 
 
@@ -444,8 +453,7 @@ def pair_similarity(spark, folder):
 
 @query
 def pair_lookup(spark, folder):
-    scores = sim.pair_scores(_assigned_pairs(spark, folder), _vectors(spark, folder))
-    return rounded(sim.look_up(scores, 0, 0), "score")
+    return rounded(sim.score_of(*_sides(spark, folder), 0, 0, t.STOPWORDS), "score")
 
 
 @query

@@ -66,4 +66,26 @@ def stored(df: DataFrame) -> DataFrame:
         return df.persist()
     path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._larkspur_path = path
+    return kept
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """``stored``, and worked out now also where the frame is persisted."""
+    kept = stored(df)
+    if not hasattr(kept, "_larkspur_path"):
+        kept.count()
+    return kept
+
+
+def release(kept: DataFrame) -> None:
+    """Give up a frame that ``stored`` returned and that nothing will read any more: its table is
+    deleted, or its blocks are freed. Frames derived from it must have been written themselves."""
+    path = getattr(kept, "_larkspur_path", None)
+    if path is None:
+        kept.unpersist()
+        return
+    context = kept.sparkSession.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.session import materialised, release
+
 PARSED, HEADER = 1, 0
 SCAN_PARTITIONS = "spark.larkspur.scan.partitions"
 
@@ -98,10 +101,38 @@ def rejected_sample(parsed: DataFrame, status: int, k: int) -> DataFrame:
     return rejected(parsed, status).orderBy("value").limit(k)
 
 
+@dataclass(frozen=True)
+class Ingest:
+    """The parsed rows of one read, and the lines met in it: ``counts`` has ``lines_read``,
+    ``lines_parsed``, ``header_lines`` and ``lines_failed``."""
+
+    rows: DataFrame
+    counts: dict[str, int]
+
+
+def ingest_once(parsed: DataFrame, failed_status: int) -> Ingest:
+    """Keep the parsed rows and count all lines while they pass by, in a single read of the input.
+
+    The counts are metrics of the scan itself, so neither a count ahead of it nor a second read
+    is needed. A task that is run again counts once.
+    """
+    seen = Observation()
+    status = F.col("status")
+    header = F.lit(0).cast("bigint") if failed_status == HEADER else F.count_if(status == HEADER)
+    observed = parsed.observe(
+        seen, F.count(F.lit(1)).alias("lines_read"),
+        F.count_if(status == PARSED).alias("lines_parsed"), header.alias("header_lines"),
+        F.count_if(status == failed_status).alias("lines_failed"))
+    rows = materialised(accepted(observed))
+    return Ingest(rows, seen.get)
+
+
 def check_ingest(parsed: DataFrame, failed_status: int, headers: int = 0) -> DataFrame:
     """Return the parsed rows after checking that no line failed and that exactly
-    ``headers`` header lines were seen; raise ``ValueError`` otherwise."""
-    counts = ingest_counts(parsed, failed_status).first()
-    if counts.lines_failed or counts.lines_read != counts.lines_parsed + headers:
-        raise ValueError(f"unexpected lines in input: {counts.asDict()}")
-    return accepted(parsed)
+    ``headers`` header lines were seen; raise ``ValueError`` otherwise. Reads the input once."""
+    done = ingest_once(parsed, failed_status)
+    counts = done.counts
+    if counts["lines_failed"] or counts["lines_read"] != counts["lines_parsed"] + headers:
+        release(done.rows)
+        raise ValueError(f"unexpected lines in input: {counts}")
+    return done.rows

@@ -76,8 +76,10 @@ def small_blocks(request, monkeypatch):
     """Run once as is and once with limits so small that every token counts as hot."""
     if request.param:
         monkeypatch.setattr(sim, "BLOCK", request.param)
-        monkeypatch.setattr(sim, "BITMAP_ABOVE", 2)
+        monkeypatch.setattr(sim, "PAIRS_PER_CELL", request.param)
+        monkeypatch.setattr(sim, "LISTED", 2)
         monkeypatch.setattr(sim, "SLICE", 8)
+        monkeypatch.setattr(sim, "SLICES_PER_CELL", 2)
         monkeypatch.setattr(sim, "BITMAP_BITS", 5)
 
 
@@ -110,16 +112,68 @@ def test_candidate_count(vectors, small_blocks):
 def test_candidate_count_without_any(spark):
     none = sim.build_vectors(frame(spark, [(1, "x")]), frame(spark, [(1, "y")]))
     assert sim.candidate_count(none).first().candidate_pairs == 0
-    assert sim.similar_pairs(none).isEmpty()
+    assert sim.similar_pairs(none, 0.0).isEmpty()
 
 
-def test_all_pairs_summary(vectors, sides):
-    row = sim.all_pairs_summary(vectors, *sides).first()
+@pytest.mark.parametrize("built", [True, False])
+def test_all_pairs_summary(vectors, sides, built):
+    row = (sim.all_pairs_summary(vectors, *sides) if built
+           else sim.records_summary(*sides, STOP)).first()
     assert row.pairs == len(LEFT) * len(RIGHT)
     assert abs(row.sum_score - sum(SCORES.values())) < 1e-8
     assert abs(row.mean_score - sum(SCORES.values()) / row.pairs) < 2e-12
 
 
+def test_no_row_is_copied_to_an_empty_cell(vectors, monkeypatch):
+    """Blocks follow from the heads that are left, and cells without a partner get no rows."""
+    monkeypatch.setattr(sim, "BLOCK", 3)
+    for least in (0.0, 0.1, 0.45):
+        rows = sim.head_cells(vectors, least).collect()
+        cells = {side: {(r.token, r.left_block, r.right_block) for r in rows if r.side == side}
+                 for side in ("left", "right")}
+        assert cells["left"] == cells["right"]
+        assert len({(r.side, r.token, r.left_block, r.right_block, r.id) for r in rows}) == len(rows)
+        sizes = Counter((r.side, r.token) for r in
+                        {(r.side, r.token, r.id): r for r in rows}.values())
+        blocks = {(r.token, r.left_block) for r in rows}
+        assert all(sum(b[0] == t for b in blocks) <= -(-n // 3)
+                   for (side, t), n in sizes.items() if side == "left")
+
+
+def test_record_in_all_pairs_is_spread(spark, vectors, sides, monkeypatch):
+    monkeypatch.setattr(sim, "PAIRS_PER_CELL", 5)
+    ids = {r.id: r.vector_id for r in vectors.left_ids.collect()}
+    pairs = sides[1].select(F.lit(ids[5]).alias("left_id"), F.col("id").alias("right_id"))
+    spread = sim.with_vectors(pairs, vectors.left, "left_id", "right_id", "vector")
+    assert spread.count() == len(RIGHT)
+    plan = spread._jdf.queryExecution().toString()
+    assert "cell" in plan
+    known = {(r.left_id, r.right_id): r.score for r in sim.pair_scores(
+        pairs.withColumn("left_id", F.lit(5).cast("bigint")), vectors).collect()}
+    assert_scores(known, {(5, j): SCORES.get((5, j), 0.0) for j, _ in RIGHT})
+
+
+def test_containers_do_not_grow_with_slices(vectors, monkeypatch):
+    """Lists and bitmaps hold every right-hand row once, however many slices there are."""
+    monkeypatch.setattr(sim, "LISTED", 8)
+    held = Counter(r.token for r in vectors.right.collect())
+    sizes = []
+    for size in (1 << 14, 16, 2):
+        monkeypatch.setattr(sim, "SLICE", size)
+        listed, mapped = sim.containers(vectors)
+        places = listed.agg(F.sum(F.size("bits"))).first()[0] or 0
+        sizes.append(places * 8 + (mapped.agg(F.sum(F.octet_length("bits"))).first()[0] or 0))
+        assert sim.candidate_count(vectors).first().candidate_pairs == len(SCORES)
+    assert sizes[0] >= sizes[1] >= sizes[2] and len(held) > 0
+
+
+def test_score_of_one_pair(sides):
+    for i, j in (GOLD[0], GOLD[5], GOLD[6]):
+        row = sim.score_of(*sides, i, j, STOP).collect()
+        assert len(row) == 1 and abs(row[0].score - SCORES.get((i, j), 0.0)) < 2e-12
+    assert sim.score_of(*sides, 5, 999_999, STOP).isEmpty()
+
+
 def test_pair_scores(spark, vectors):
     pairs = spark.createDataFrame(GOLD + GOLD[:1] + [(5, 999_999)], "left_id bigint, right_id bigint")
     known = {(r.left_id, r.right_id): (r.score, r.times)
