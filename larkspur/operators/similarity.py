@@ -25,8 +25,8 @@ BLOCK = 4096
 # Pairs that one copy of a record's vector serves.
 PAIRS_PER_CELL = 4096
 # Of one token, more vectors of a slice than this are held as a bitmap, fewer as a list. Spark's
-# bitmaps take 4 KB whatever they hold, which 256 rows of a list take up, too.
-LISTED = 256
+# bitmaps take 4 KB whatever they hold.
+LISTED = 64
 # Vectors per slice, bits of a bitmap, and slices that meet a token's left side in one task.
 SLICE, BITMAP_BITS, SLICES_PER_CELL = 16_384, 32_768, 64
 # The same sum taken in another order differs far behind this many decimals, so comparing
@@ -125,20 +125,29 @@ def text_pair_scores(pairs: DataFrame, idf: DataFrame,
 class Vectors:
     """Unit vectors of two record sets, as far as their tokens occur on both sides.
 
-    ``left``/``right``: ``id``, ``copies``, ``token`` (a number), ``unit``, ``tail``. ``unit`` is
-    the weight divided by the vector's norm; ``tail`` is the length of the part of the vector
-    from this token on, most frequent token last.
+    ``left_packed``/``right_packed``: ``id``, ``copies`` and ``entries``, the vector as one array of
+    ``token`` (a number), ``unit`` and ``tail`` in the order of tokens. ``unit`` is the weight
+    divided by the vector's norm; ``tail`` is the length of the part of the vector from this
+    token on, most frequent token last. ``left``/``right`` have a row per entry.
 
     Norms and tails cover all tokens of a record.
 
     ``left_ids``/``right_ids``: ``id``, ``vector_id`` for every record.
     """
 
-    left: DataFrame
-    right: DataFrame
+    left_packed: DataFrame
+    right_packed: DataFrame
     left_ids: DataFrame
     right_ids: DataFrame
 
+    @property
+    def left(self) -> DataFrame:
+        return self.left_packed.select("id", "copies", F.inline("entries"))
+
+    @property
+    def right(self) -> DataFrame:
+        return self.right_packed.select("id", "copies", F.inline("entries"))
+
 
 def _keyed(records: DataFrame) -> DataFrame:
     return records.select("id", "text", F.unhex(F.sha2("text", 256)).alias("text_key"))
@@ -209,13 +218,15 @@ def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] =
     so_far = rare_last.rowsBetween(Window.unboundedPreceding, 0)
     lengths = (weighted.withColumn("norm", F.sqrt(F.sum(square).over(whole)))
                .withColumn("up_to", F.sqrt(F.sum(square).over(so_far))))
-    # Norms and tails are done: tokens that only one side has cannot meet any more.
-    vectors = stored(lengths.filter("left_df > 0 AND right_df > 0").select(
-        "side", "id", "copies", F.col("number").alias("token"),
-        (F.col("weight") / F.col("norm")).alias("unit"),
-        (F.col("up_to") / F.col("norm")).alias("tail")))
-    return Vectors(vectors.filter("side = 'left'").drop("side"),
-                   vectors.filter("side = 'right'").drop("side"),
+    # Norms and tails are done: tokens that only one side has cannot meet any more. The rows of a
+    # record are together, so packing them needs no further shuffle.
+    entry = F.struct(F.col("number").alias("token"),
+                     (F.col("weight") / F.col("norm")).alias("unit"),
+                     (F.col("up_to") / F.col("norm")).alias("tail"))
+    packed = stored(lengths.filter("left_df > 0 AND right_df > 0").groupBy("side", "id").agg(
+        F.first("copies").alias("copies"), F.sort_array(F.collect_list(entry)).alias("entries")))
+    return Vectors(packed.filter("side = 'left'").drop("side"),
+                   packed.filter("side = 'right'").drop("side"),
                    record_ids(left), record_ids(right))
 
 
@@ -229,11 +240,11 @@ def head_cells(vectors: Vectors, least_tail: float = 0.0) -> DataFrame:
     ceil(l/BLOCK) x ceil(r/BLOCK) cells instead of one join key, and a row is only copied to
     cells that hold rows of the other side. Rare tokens have one cell.
     """
-    def heads(df: DataFrame, side: str) -> DataFrame:
-        return df.filter(F.col("tail") >= least_tail - SLACK).select(
-            F.lit(side).alias("side"), "token", "id", "copies", "unit")
+    def heads(packed: DataFrame, side: str) -> DataFrame:
+        head = F.filter("entries", lambda e: e.tail >= least_tail - SLACK)
+        return packed.select(F.lit(side).alias("side"), "id", "copies", F.inline(head)).drop("tail")
 
-    rows = heads(vectors.left, "left").unionByName(heads(vectors.right, "right"))
+    rows = heads(vectors.left_packed, "left").unionByName(heads(vectors.right_packed, "right"))
     on_left = F.col("side") == "left"
     grid = rows.groupBy("token").agg(
         F.ceil(F.count_if(on_left) / BLOCK).alias("left_blocks"),
@@ -269,45 +280,42 @@ def _meeting(vectors: Vectors, least_tail: float) -> DataFrame:
         (F.col("left_unit") * F.col("right_unit")).alias("product"))
 
 
-def with_vectors(pairs: DataFrame, rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
+def with_vectors(pairs: DataFrame, packed: DataFrame, own: str, other: str, name: str,
+                 counted: DataFrame | None = None) -> DataFrame:
     """``pairs`` with the vectors of the records in column ``own``, each as one array ``name`` of
-    (token, unit) in the order of tokens. Pairs whose record has no vector drop out.
+    entries in the order of tokens. Pairs whose record has no vector drop out.
 
     How many pairs a record is in is counted first. One in many pairs has its vector copied, a
     copy for every ``PAIRS_PER_CELL`` pairs, and its pairs are dealt to the copies, so a record
-    found in all pairs is spread over many tasks.
+    found in all pairs is spread over many tasks. ``counted`` may give the same pairs by a
+    shorter way.
     """
-    hot = (pairs.groupBy(own).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_CELL).alias("cells"))
+    hot = ((counted or pairs).groupBy(own).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_CELL).alias("cells"))
            .filter("cells > 1"))
     dealt = pairs.join(hot, own, "left").withColumn(
         "cell", F.pmod(F.xxhash64(other), F.coalesce("cells", F.lit(1)))).drop("cells")
-    packed = rows.groupBy(F.col("id").alias(own)).agg(
-        F.sort_array(F.collect_list(F.struct("token", "unit"))).alias(name))
-    copied = packed.join(hot, own, "left").select(own, name, F.explode(F.sequence(
+    wanted = packed.select(F.col("id").alias(own), F.col("entries").alias(name))
+    copied = wanted.join(hot, own, "left").select(own, name, F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.coalesce("cells", F.lit(1)) - 1)).alias("cell"))
     return dealt.join(copied, [own, "cell"]).drop("cell")
 
 
-def _merged_product(a: Column, b: Column) -> Column:
-    """Dot product of two packed vectors, by going through both in the order of tokens."""
-    start = F.struct(F.lit(-1).cast("bigint").alias("token"), F.lit(0.0).alias("unit"),
-                     F.lit(0.0).alias("dot"))
-
-    def take(done: Column, x: Column) -> Column:
-        product = F.when(x.token == done.token, x.unit * done.unit).otherwise(0.0)
-        return F.struct(x.token.alias("token"), x.unit.alias("unit"),
-                        (done.dot + product).alias("dot"))
-
-    return F.aggregate(F.sort_array(F.concat(a, b)), start, take).dot
-
-
 def vector_scores(pairs: DataFrame, vectors: Vectors) -> DataFrame:
     """``pairs`` of vectors (``left_id`` and ``right_id``, each pair once) with their ``score``.
     Only one packed vector per side and pair travels, and the product is taken row by row."""
-    left = with_vectors(pairs, vectors.left, "left_id", "right_id", "left_vector")
-    both = with_vectors(left, vectors.right, "right_id", "left_id", "right_vector")
-    return both.withColumn("score", _merged_product(
-        F.col("left_vector"), F.col("right_vector"))).drop("left_vector", "right_vector")
+    # The degrees are counted on the pairs as they were given, before vectors are beside them.
+    left = with_vectors(pairs, vectors.left_packed, "left_id", "right_id", "left_vector")
+    both = with_vectors(left, vectors.right_packed, "right_id", "left_id", "right_vector", pairs)
+    both = both.withColumn("common", F.array_intersect("left_vector.token", "right_vector.token"))
+
+    def shared(vector: str) -> Column:
+        return F.filter(vector, lambda e: F.array_contains("common", e.token))
+
+    # Both vectors are in the order of tokens, so what they share stands in the same places.
+    products = F.zip_with(shared("left_vector"), shared("right_vector"),
+                          lambda a, b: a.unit * b.unit)
+    return both.withColumn("score", F.aggregate(products, F.lit(0.0), lambda x, y: x + y)).drop(
+        "left_vector", "right_vector", "common")
 
 
 def reaches(score: Column, least: float) -> Column:
@@ -469,26 +477,33 @@ def containers(vectors: Vectors) -> tuple[DataFrame, DataFrame]:
     return listed, mapped
 
 
-def _meeting_containers(vectors: Vectors, held: DataFrame) -> DataFrame:
+def _meeting_containers(vectors: Vectors, held: DataFrame, grid: DataFrame) -> DataFrame:
     """Left-hand vectors with the containers of their tokens: ``id``, ``copies``, ``slice``, ``power``,
     ``bits``. A token's containers meet its left side in cells of at most about ``BLOCK`` vectors
     and ``SLICES_PER_CELL`` slices."""
-    group = F.floor(F.col("slice") / SLICES_PER_CELL)
-    left = vectors.left.select("id", "copies", "token")
-    # Only tokens that have containers of this form, and the groups of slices these lie in.
-    groups = held.groupBy("token").agg(F.collect_set(group).alias("groups"))
-    blocks = left.join(groups, "token").groupBy("token", "groups").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    rows = (left.join(blocks, "token")
+    rows = (vectors.left.join(grid, "token")
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
             .select("id", "copies", "token", "block", F.explode("groups").alias("group")))
-    right = (held.join(blocks.select("token", "blocks"), "token")
-             .select("token", "slice", "power", "bits", group.alias("group"), F.explode(F.sequence(
-                 F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block")))
+    right = (held.join(grid.select("token", "blocks"), "token")
+             .select("token", "slice", "power", "bits", _slice_group().alias("group"), F.explode(
+                 F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block")))
     return rows.join(right, ["token", "block", "group"]).select(
         "id", "copies", "slice", "power", "bits")
 
 
+def _slice_group() -> Column:
+    return F.floor(F.col("slice") / SLICES_PER_CELL)
+
+
+def _container_grid(vectors: Vectors, listed: DataFrame, mapped: DataFrame) -> DataFrame:
+    """Per token of both sides: the ``blocks`` its left side is cut into, and the ``groups`` of slices
+    its containers lie in."""
+    held = listed.select("token", "slice").unionByName(mapped.select("token", "slice"))
+    groups = held.groupBy("token").agg(F.collect_set(_slice_group()).alias("groups"))
+    blocks = vectors.left.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    return groups.join(blocks, "token")
+
+
 def candidate_count(vectors: Vectors) -> DataFrame:
     """How many record pairs share at least one token, one row ``candidate_pairs``.
 
@@ -499,9 +514,10 @@ def candidate_count(vectors: Vectors) -> DataFrame:
     """
     listed, mapped = containers(vectors)
     keys = ["id", "copies", "slice", "power"]
-    merged = stored(_meeting_containers(vectors, mapped).groupBy(keys).agg(
-        F.bitmap_or_agg("bits").alias("bits")))
-    places = (_meeting_containers(vectors, listed)
+    grid = _container_grid(vectors, listed, mapped)
+    merged = _meeting_containers(vectors, mapped, grid).groupBy(keys).agg(
+        F.bitmap_or_agg("bits").alias("bits"))
+    places = (_meeting_containers(vectors, listed, grid)
               .select(*keys, F.explode("bits").alias("bit")).distinct())
     byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10)
     in_map = F.call_function("shiftright", byte.cast("int"),

@@ -144,7 +144,7 @@ def test_record_in_all_pairs_is_spread(spark, vectors, sides, monkeypatch):
     monkeypatch.setattr(sim, "PAIRS_PER_CELL", 5)
     ids = {r.id: r.vector_id for r in vectors.left_ids.collect()}
     pairs = sides[1].select(F.lit(ids[5]).alias("left_id"), F.col("id").alias("right_id"))
-    spread = sim.with_vectors(pairs, vectors.left, "left_id", "right_id", "vector")
+    spread = sim.with_vectors(pairs, vectors.left_packed, "left_id", "right_id", "vector")
     assert spread.count() == len(RIGHT)
     plan = spread._jdf.queryExecution().toString()
     assert "cell" in plan
