@@ -3,11 +3,12 @@
 Templates are short texts with a label. All rolling three-word hashes of all documents are joined
 to the hashes of the templates; the hash finds a partner, the words themselves confirm it. A match
 of a document's place with a template's place votes for the diagonal (document place less
-template place). The votes of a diagonal are summed; diagonals of one template at most
-``gap`` apart are one span, as words put in or left out move a notice to a neighbouring
-diagonal; and a span is verified by the share of the template's words that its votes cover (each
-word once), by its length, and by the words that tell the template from other licenses, which have
-to stand consecutively.
+template place). The votes of a diagonal are summed; diagonals of one template are put in order,
+and neighbours at most ``gap`` apart belong together, as words put in or left out move a notice to
+a neighbouring diagonal (votes elsewhere do not come between them). Of those, every window of
+diagonals as wide as the template is verified by the share of the template's words that its votes
+cover (each word once) and by the words that tell the template from other licenses, which have to
+stand consecutively; verified windows that overlap in the text are one span.
 
 Base phrases are templates that count only if all of their words stand consecutively.
 """
@@ -42,7 +43,7 @@ PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: Openings of public license notices and their labels.
+#: Openings and body paragraphs of public license notices and their labels.
 NOTICES = (
     ("permission is hereby granted free of charge to any person obtaining a copy of this software "
      "and associated documentation files to deal in the software without restriction", "mit"),
@@ -70,6 +71,31 @@ NOTICES = (
     ("permission to use copy modify and or distribute this software for any purpose with or "
      "without fee is hereby granted", "isc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("the above copyright notice and this permission notice shall be included in all copies or "
+     "substantial portions of the software", "mit"),
+    ("the software is provided as is without warranty of any kind express or implied including "
+     "but not limited to the warranties of merchantability fitness for a particular purpose and "
+     "noninfringement", "mit"),
+    ("unless required by applicable law or agreed to in writing software distributed under the "
+     "license is distributed on an as is basis without warranties or conditions of any kind "
+     "either express or implied", "apache-2"),
+    ("redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer", "bsd"),
+    ("redistributions in binary form must reproduce the above copyright notice this list of "
+     "conditions and the following disclaimer in the documentation and or other materials "
+     "provided with the distribution", "bsd"),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to "
+     "endorse or promote products derived from this software without specific prior written "
+     "permission", "bsd-3"),
+    ("this program is distributed in the hope that it will be useful but without any warranty "
+     "without even the implied warranty of merchantability or fitness for a particular purpose",
+     "gpl"),
+    ("if a copy of the mpl was not distributed with this file you can obtain one at", "mpl-2"),
+    ("the software is provided as is and the author disclaims all warranties with regard to this "
+     "software including all implied warranties of merchantability and fitness", "isc"),
+    ("anyone is free to copy modify publish use compile sell or distribute this software either "
+     "in source code form or as a compiled binary for any purpose commercial or non commercial "
+     "and by any means", "unlicense"),
 )
 
 
@@ -128,17 +154,18 @@ def votes(docs: DataFrame, listed: list[Template]) -> DataFrame:
     """``_llm_key``, ``_llm_digest``, ``template``, ``place`` (in the document) and ``diagonal``:
     the places where three words of a document are those of a template."""
     spark = docs.sparkSession
-    hashes = F.when(F.size("words") >= K, F.transform(
+    # A row per place has its own three words only, so the work follows the length of the text.
+    grams = F.when(F.size("words") >= K, F.transform(
         F.sequence(F.lit(0), F.size("words") - K),
-        lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2))))
-    grams = docs.select("_llm_key", "_llm_digest", "words",
-                        F.posexplode(hashes).alias("place", "hash"))
-    at = F.col("place")
-    return (grams.join(F.broadcast(_template_places(spark, listed)), "hash")
-            .filter((F.get("words", at) == F.col("a")) & (F.get("words", at + 1) == F.col("b"))
-                    & (F.get("words", at + 2) == F.col("c")))
+        lambda i: F.struct(F.get("words", i).alias("a"), F.get("words", i + 1).alias("b"),
+                           F.get("words", i + 2).alias("c"))))
+    placed = docs.select("_llm_key", "_llm_digest", F.posexplode(grams).alias("place", "gram"))
+    hashed = placed.withColumn("hash", F.xxhash64("gram.a", "gram.b", "gram.c"))
+    return (hashed.join(F.broadcast(_template_places(spark, listed)), "hash")
+            .filter((F.col("gram.a") == F.col("a")) & (F.col("gram.b") == F.col("b"))
+                    & (F.col("gram.c") == F.col("c")))
             .select("_llm_key", "_llm_digest", "template", "place",
-                    (at - F.col("at")).alias("diagonal"))
+                    (F.col("place") - F.col("at")).alias("diagonal"))
             # Rows with equal key and text vote alike; each place counts once.
             .distinct())
 
@@ -160,27 +187,34 @@ def spans(voted: DataFrame, listed: list[Template], gap: int = GAP) -> DataFrame
     # A base phrase is whole on a single diagonal; it has no neighbours.
     whole = diagonals.filter(f"base AND votes = n - {K - 1}").select(
         *row, "label", "base", "first", "last", F.lit(1.0).alias("cover"))
-    # A notice's diagonals are neighbours if they are near and their spans are, too.
-    own = Window.partitionBy(*row).orderBy("first", "diagonal")
-    before = F.lag("diagonal").over(own)
-    reach = F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    is_new = (before.isNull() | (F.abs(F.col("diagonal") - before) > gap)
-              | (F.col("first") - reach > F.col("n")))
     # On one diagonal, words that are consecutive in the template are so in the document.
     told = (F.col("tell_last") < F.col("tell_first")) | (F.size(F.array_except(
         F.sequence("tell_first", F.greatest("tell_first", "tell_last")), "covers")) == 0)
-    merged = (diagonals.filter("NOT base").withColumn("told", told)
-              .withColumn("_new", F.coalesce(is_new, F.lit(True)).cast("int"))
-              .withColumn("_span", F.sum("_new").over(own))
-              .groupBy(*row, "label", "base", "n", "_span").agg(
-                  F.min("first").alias("first"), F.max("last").alias("last"),
-                  F.max("told").alias("told"), F.size(F.array_distinct(F.flatten(
-                      F.collect_list("covers")))).alias("covered")))
+    own = Window.partitionBy(*row).orderBy("diagonal")
+    is_new = F.col("diagonal") - F.lag("diagonal", 1).over(own) > gap
+    # Diagonals less than the template's length apart, so at most twice that many words.
+    wide = (Window.partitionBy(*row, "_band").orderBy(F.col("diagonal") / F.col("n"))
+            .rangeBetween(0, 1))
+    windows = (diagonals.filter("NOT base").withColumn("told", told)
+               .withColumn("_new", F.coalesce(is_new, F.lit(False)).cast("int"))
+               .withColumn("_band", F.sum("_new").over(own))
+               .select(*row, "label", "base", "n", F.col("diagonal"),
+                       F.min("first").over(wide).alias("first"),
+                       F.max("last").over(wide).alias("last"),
+                       F.max("told").over(wide).alias("told"),
+                       F.size(F.array_distinct(F.flatten(F.collect_list("covers").over(wide))))
+                       .alias("covered")))
     cover = F.least(F.col("covered"), F.col("last") - F.col("first") + 1) / F.col("n")
-    return whole.unionByName(merged.withColumn("cover", cover).filter(
-        (F.col("cover") >= LEAST_COVER)
-        & (F.col("last") - F.col("first") + 1 <= F.col("n") * 2) & F.col("told")
-    ).select(*row, "label", "base", "first", "last", "cover"))
+    by_place = Window.partitionBy(*row).orderBy("first", "diagonal")
+    reach = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    merged = (windows.withColumn("cover", cover)
+              .filter((F.col("cover") >= LEAST_COVER) & F.col("told"))
+              .withColumn("_new", F.coalesce(F.col("first") > reach, F.lit(True)).cast("int"))
+              .withColumn("_span", F.sum("_new").over(by_place))
+              .groupBy(*row, "label", "base", "_span").agg(
+                  F.min("first").alias("first"), F.max("last").alias("last"),
+                  F.max("cover").alias("cover")))
+    return whole.unionByName(merged.select(*row, "label", "base", "first", "last", "cover"))
 
 
 def scan_licenses(docs: DataFrame, phrases=PHRASES, notices=NOTICES, key: str = "doc_id",

@@ -1,13 +1,14 @@
 """Licenses, quality rules, decontamination and languages against plain versions."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
 from larkspur.llm.decontaminate import (Index, contaminated, drop_contaminated,
                                         find_contamination, words_of)
 from larkspur.llm.language import held_out, keep_identified, language_digest, train
-from larkspur.llm.licenses import NOTICES, PHRASES, license_digest
+from larkspur.llm.licenses import NOTICES, PHRASES, license_digest, scan_licenses
 from larkspur.llm.quality_rules import host_verdicts, measure, quality_digest
 from llm_data import ODD
 
@@ -114,6 +115,34 @@ def test_lightly_edited_notices_are_found_and_other_licenses_are_not(docs):
         assert label not in got[6000 + i].labels.split(","), got[6000 + i]
 
 
+def test_words_put_into_a_notice_do_not_lose_it(docs):
+    opening = next(n for n, label in NOTICES if label == "bsd").split()
+    alien = "seven tall unrelated words".split()
+    own = "redistribution and use in".split()
+    rows = [(1, " ".join(opening[:10] + alien + opening[10:])),
+            (2, " ".join(opening[:10] + own + opening[10:])),
+            # Other places of the notice's words before, between and after two whole ones.
+            (3, " ".join(own + opening + own * 3 + opening + own)),
+            (4, " ".join(own * 30))]
+    got = {r.doc_id: r for r in scan_licenses(docs(rows)).collect()}
+    assert {k: r.license_spans[0].label if r.license_spans else None for k, r in got.items()} == {
+        1: "bsd", 2: "bsd", 3: "bsd", 4: None}
+    assert got[1].score == 1.0 and got[2].score == 1.0
+    assert len(got[3].license_spans) == 2
+
+
+def test_license_work_follows_the_length_of_a_text(docs):
+    def seconds(n):
+        text = " ".join(f"w{i % 5000}" for i in range(n))
+        start = time.perf_counter()
+        row = license_digest(docs([(1, text + " under the mit license")])).first()
+        assert (row.n_base, row.first_word) == (1, n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(400_000) <= 2.5 * seconds(200_000)
+
+
 # --- quality rules ---
 
 def plain_measures(text):
