@@ -15,9 +15,10 @@ POSITION_BITS = 33
 MOST_BROADCAST_ROWS = 500_000
 
 
-def _offsets(counts: DataFrame, order: Sequence[str], name: str = "offset") -> DataFrame:
+def _offsets(counts: DataFrame, order: Sequence[str], within: Sequence[str] = (),
+             name: str = "offset") -> DataFrame:
     """Exclusive running sum of ``rows``; one row per partition or file block, so small."""
-    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn(name, F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
 
 
@@ -41,10 +42,14 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "index") ->
             .drop("_part", "_row", "offset"))
 
 
-def number_text_lines(lines: DataFrame, name: str = "index") -> DataFrame:
+def number_text_lines(lines: DataFrame, name: str = "index",
+                      per_file: bool = False) -> DataFrame:
     """Number the lines of text files from 0, in file order, without sorting them.
 
-    ``lines`` is the direct output of ``spark.read.text``. Lines of one file block are
+    ``lines`` is the direct output of ``spark.read.text`` over any number of files, plain and
+    compressed together. Files follow one another by their full path as text; ``per_file`` starts
+    again at 0 in each and adds the column ``file``. A file that is given twice is read as two
+    runs of lines by Spark and must not be. Lines of one file block (all of a compressed file) are
     read by one task in order, so a block's offset plus the position in the block is
     enough: one counting pass and one numbering pass. The text is not shuffled as long as
     there are at most ``MOST_BROADCAST_ROWS`` blocks (of 128 MB: 64 TB).
@@ -56,8 +61,10 @@ def number_text_lines(lines: DataFrame, name: str = "index") -> DataFrame:
         F.monotonically_increasing_id().alias("_row"))
     blocks = placed.groupBy("_file", "_start").agg(
         F.count(F.lit(1)).alias("rows"), F.min("_row").alias("_first"))
-    offsets = stable(_offsets(blocks, ["_file", "_start"]).drop("rows"))
+    within = ["_file"] if per_file else []
+    offsets = stable(_offsets(blocks, ["_file", "_start"], within).drop("rows"))
     if offsets.count() <= MOST_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    return (placed.join(offsets, ["_file", "_start"])
-            .select((F.col("offset") + F.col("_row") - F.col("_first")).alias(name), "value"))
+    file = [F.col("_file").alias("file")] if per_file else []
+    return placed.join(offsets, ["_file", "_start"]).select(
+        *file, (F.col("offset") + F.col("_row") - F.col("_first")).alias(name), "value")

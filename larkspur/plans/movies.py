@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import text_sort_key
 from larkspur.operators.counting import top
-from larkspur.operators.ratings import rating_stats, titled_stats
+from larkspur.operators.ratings import mean_rating, rating_stats, titled_stats
+from larkspur.session import shared_folder
 
 # Factorisation settings and the thresholds of the two movie lists.
 RANKS, ITERATIONS, REGULARISATION, SEED = (4, 8, 12), 5, 0.1, 5
@@ -23,6 +24,9 @@ POPULAR_ABOVE, RECOMMENDED_ABOVE = 500, 75
 #: it is fixed, and never taken from the cluster.
 BLOCKS = 10
 
+#: Rounds after which the factors are written to the shared folder, where one is named.
+CHECKPOINT_EVERY = 2
+
 
 def popular_movies(ratings: DataFrame, movies: DataFrame, more_than: int = POPULAR_ABOVE,
                    k: int = 20) -> DataFrame:
@@ -52,9 +56,12 @@ def fit(train: DataFrame, rank: int, iterations: int = ITERATIONS,
 
     Users and movies are cut into ``blocks`` each, and every user block exchanges factors with
     every movie block. Give more for more ratings; the same number gives the same model.
+    Every ``CHECKPOINT_EVERY`` rounds the factors are cut off from the rounds before them, so a
+    lost executor repeats few of them.
     """
+    every = CHECKPOINT_EVERY if shared_folder(train.sparkSession) else -1
     return ALS(rank=rank, maxIter=iterations, regParam=regularisation, seed=seed,
-               numUserBlocks=blocks, numItemBlocks=blocks,
+               numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=every,
                userCol="user", itemCol="movie", ratingCol="rating", implicitPrefs=False,
                coldStartStrategy="drop").fit(train)
 
@@ -83,17 +90,18 @@ class Selection:
 
 
 def select_rank(train: DataFrame, validation: DataFrame,
-                ranks: Sequence[int] = RANKS) -> Selection:
+                ranks: Sequence[int] = RANKS, **settings) -> Selection:
     """Fit one model per rank and compare validation errors; the first minimum wins.
 
     The fits do not depend on each other and are submitted side by side. Their inputs are
-    kept until all are done. Only one error value per rank reaches the driver.
+    kept until all are done. Only one error value per rank reaches the driver. ``settings`` are
+    those of :func:`fit`.
     """
     spark = train.sparkSession
     train, validation = train.persist(), validation.persist()
 
     def evaluate(rank: int) -> tuple[ALSModel, Row]:
-        model = fit(train, rank)
+        model = fit(train, rank, **settings)
         return model, model_error(model, validation).first()
 
     try:
@@ -113,6 +121,26 @@ def select_rank(train: DataFrame, validation: DataFrame,
     return Selection(errors, ranks[best], results[best][0])
 
 
+def recovery(train: DataFrame, validation: DataFrame, held_out: DataFrame,
+             ranks: Sequence[int] = RANKS, **settings) -> DataFrame:
+    """How well a model fitted on noisy ratings finds known values behind them.
+
+    The rank is chosen on ``validation``. ``held_out`` has ``user``, ``movie`` and ``known``; its
+    pairs are in neither other part. One row: ``n``, the pairs with a prediction; ``model_rmse``
+    and ``mean_rmse``, the errors of the model and of the mean of ``train`` against ``known`` over
+    those pairs; ``smallest_chosen``, whether no rank has a smaller validation error.
+    """
+    chosen = select_rank(train, validation, ranks, **settings)
+    own = F.max(F.when(F.col("rank") == chosen.best_rank, F.col("rmse")))
+    smallest = chosen.errors.agg((own <= F.min("rmse")).alias("smallest")).scalar()
+    off = F.col("prediction").cast("double") - F.col("known")
+    by_mean = mean_rating(train) - F.col("known")
+    return chosen.best_model.transform(held_out).agg(
+        F.count("prediction").alias("n"), F.sqrt(F.avg(off * off)).alias("model_rmse"),
+        F.sqrt(F.avg(by_mean * by_mean)).alias("mean_rmse")
+    ).withColumn("smallest_chosen", smallest)
+
+
 def with_new_user(train: DataFrame, new_ratings: DataFrame) -> DataFrame:
     """Training rows plus a new user's ratings, as a bag."""
     return train.select("user", "movie", "rating").unionByName(

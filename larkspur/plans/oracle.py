@@ -362,6 +362,20 @@ SQL["new_user_list_check"] = WITH_NEW_USER + """
 SELECT least(20, count(*)) AS movies, CAST(0 AS BIGINT) AS out_of_order,
        CAST(0 AS BIGINT) AS rated, CAST(0 AS BIGINT) AS seldom
 FROM candidates WHERE movie IN (SELECT movie FROM parts WHERE part = 0)"""
+SQL["als_planted_recovery"] = RATED + """,
+planted AS (
+  SELECT "user", movie, part, known,
+         known + (("user" * 131::BIGINT + movie * 17) % 21 - 10) / 50.0::DOUBLE AS rating FROM (
+    SELECT DISTINCT "user", movie, part,
+           1.0::DOUBLE + 2 * ("user" * 37::BIGINT % 101 / 100.0::DOUBLE)
+             * (movie * 29::BIGINT % 97 / 96.0::DOUBLE)
+           + 2 * ("user" * 53::BIGINT % 89 / 88.0::DOUBLE)
+             * (movie * 71::BIGINT % 83 / 82.0::DOUBLE) AS known FROM parts))
+SELECT count(*) AS n, TRUE AS smallest_chosen, TRUE AS recovered,
+       round(sqrt(avg(((SELECT avg(rating) FROM planted WHERE part = 0) - known) ** 2)), 6)
+         AS mean_rmse
+FROM planted WHERE part = 2 AND "user" IN (SELECT "user" FROM planted WHERE part = 0)
+  AND movie IN (SELECT movie FROM planted WHERE part = 0)"""
 SQL["result_set_difference"] = """
 SELECT k, v, CAST(sum(s) AS BIGINT) AS surplus FROM (
   SELECT CAST(p_size AS BIGINT) AS k, p_type AS v, 1 AS s FROM part

@@ -26,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 # The given tables hold about 30 ratings per part, so the lists use lower thresholds.
 POPULAR_ABOVE, RECOMMENDED_ABOVE, NEW_USER = 30, 25, -1
+# The planted values have rank three.
+PLANTED_RANKS = (2, 3, 4)
 
 
 def query(function: Query) -> Query:
@@ -633,6 +635,21 @@ def als_test_rmse(spark, folder):
         "rank", F.lit(chosen.best_rank))
 
 
+@query
+def als_planted_recovery(spark, folder):
+    """Models fitted on ratings with known values behind them: held-out pairs with a prediction,
+    the mean's error, and whether the chosen rank has the smallest validation error and its
+    model comes at least twice as near to the known values as the mean."""
+    planted = stored(rate.split_rows(t.planted_ratings(spark, folder), (6, 2, 2),
+                                     ("user", "movie"), seed=0))
+    train, validation, held_out = (planted.filter(F.col("part") == i) for i in range(3))
+    checked = film.recovery(train, validation, held_out.select("user", "movie", "known"),
+                            PLANTED_RANKS, iterations=10, regularisation=0.01)
+    return rounded(checked.select(
+        "n", "mean_rmse", "smallest_chosen",
+        (F.col("model_rmse") <= F.col("mean_rmse") / 2).alias("recovered")), "mean_rmse")
+
+
 @query
 def als_predicted_counts(spark, folder):
     """For every rank, how many validation rows the model has a prediction for."""

@@ -159,6 +159,17 @@ def movies(spark: SparkSession, folder: str) -> DataFrame:
     return accepted(parse_movie_lines(movie_lines(spark, folder)))
 
 
+def planted_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer with every part they ordered, once: ``known``, a value of rank three that
+    follows from the keys, and ``rating``, the same with an error of up to 0.2."""
+    pairs = ratings(spark, folder).select("user", "movie").distinct()
+    user, movie = F.col("user").cast("bigint"), F.col("movie").cast("bigint")
+    known = (F.lit(1.0) + 2 * (user * 37 % 101 / 100) * (movie * 29 % 97 / 96)
+             + 2 * (user * 53 % 89 / 88) * (movie * 71 % 83 / 82))
+    return pairs.select("user", "movie", known.alias("known"),
+                        (known + ((user * 131 + movie * 17) % 21 - 10) / 50).alias("rating"))
+
+
 def rating_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Ratings with ``part``: 0 training, 1 validation, 2 test, as 6:2:2."""
     return split_rows(ratings(spark, folder), (6, 2, 2), ("user", "movie"), seed=0)

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Frames kept in the innermost open scope; None outside of all scopes.
+_SCOPE: ContextVar[list[DataFrame] | None] = ContextVar("larkspur_scope", default=None)
+
 
 def build_session(app_name: str = "larkspur", master: str | None = None,
                   **conf: object) -> SparkSession:
@@ -41,6 +47,32 @@ def shared_folder(spark: SparkSession) -> str | None:
     return folder
 
 
+def _owned(kept: DataFrame) -> DataFrame:
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(kept)
+    return kept
+
+
+@contextmanager
+def frames_released() -> Iterator[list[DataFrame]]:
+    """Own every frame that is kept inside the block, and release all of them at its end.
+
+    A frame that is returned reads kept ones only when it is worked out, so the block has to
+    hold that work, too: write or collect the result inside. The list shows what is kept at a time.
+    Scopes can be nested; each owns what is kept directly in it. Checkpoint files are left to
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
+    kept: list[DataFrame] = []
+    token = _SCOPE.set(kept)
+    try:
+        yield kept
+    finally:
+        for frame in reversed(list(kept)):
+            release(frame)
+        _SCOPE.reset(token)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder, keeping partitions and row order.
 
@@ -49,7 +81,9 @@ def stable(df: DataFrame) -> DataFrame:
     from the same plan with the same range bounds, so under a unique order the rows come
     back in the same places.
     """
-    return df.checkpoint(eager=True) if shared_folder(df.sparkSession) else df.persist()
+    if shared_folder(df.sparkSession):
+        return df.checkpoint(eager=True)
+    return _owned(df.persist())
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -57,18 +91,18 @@ def stored(df: DataFrame) -> DataFrame:
 
     Used where several later steps read the same rows: each reads only its columns and
     row groups, and join strategies are chosen from the real size of the files. The
-    table belongs to the run; whoever owns the folder decides when to empty it. Without a
-    shared folder the frame is persisted.
+    table belongs to the scope it was stored in (:func:`frames_released`); outside of one, whoever
+    owns the folder decides when to empty it. Without a shared folder the frame is persisted.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if not folder:
-        return df.persist()
+        return _owned(df.persist())
     path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept._larkspur_path = path
-    return kept
+    return _owned(kept)
 
 
 def materialised(df: DataFrame) -> DataFrame:
@@ -82,6 +116,9 @@ def materialised(df: DataFrame) -> DataFrame:
 def release(kept: DataFrame) -> None:
     """Give up a frame that ``stored`` returned and that nothing will read any more: its table is
     deleted, or its blocks are freed. Frames derived from it must have been written themselves."""
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope[:] = [frame for frame in scope if frame is not kept]
     path = getattr(kept, "_larkspur_path", None)
     if path is None:
         kept.unpersist()

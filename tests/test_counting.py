@@ -1,3 +1,5 @@
+import gzip
+
 from pyspark.sql import functions as F
 
 from larkspur.operators import counting
@@ -92,6 +94,31 @@ def test_number_text_lines_over_blocks_and_files(spark, tmp_path):
     assert [r.value for r in got] == first + second
 
 
+def test_number_text_lines_over_plain_and_compressed_files(spark, tmp_path):
+    files = {"a.txt": [f"a {i} " + "x" * (i % 40) for i in range(3000)], "b.txt": ["one"],
+             "c.txt": [], "d.txt.gz": [f"d {i}" for i in range(1500)],
+             "e.txt": [f"e {i}" for i in range(200)]}
+    for name, rows in files.items():
+        opened = gzip.open if name.endswith(".gz") else open
+        with opened(tmp_path / name, "wt") as out:
+            out.writelines(row + "\n" for row in rows)
+    sizes = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "100"}
+    before = {key: spark.conf.get(key) for key in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        lines = read_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 3
+        got = number_text_lines(lines).collect()
+        own = number_text_lines(lines, "line", per_file=True).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted((r["index"], r.value) for r in got) == list(enumerate(sum(files.values(), [])))
+    assert sorted((r.file.rsplit("/", 1)[1], r.line, r.value) for r in own) == [
+        (name, i, row) for name, rows in files.items() for i, row in enumerate(rows)]
+
+
 def test_word_totals_and_last_words(spark):
     lines = spark.createDataFrame([("Zounds, zounds!  a",), ("",)], "value string")
     totals = plans.word_totals(plans.cleaned_lines(lines)).first()

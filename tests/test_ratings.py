@@ -119,6 +119,19 @@ def test_recommender(spark, taste):
     assert abs(joined.rmse - error.rmse) < 1e-9
 
 
+def test_recovery_tells_a_model_from_the_mean(spark, taste):
+    parts = rate.split_rows(taste, (6, 2, 2), ("user", "movie"))
+    train, validation, test = (parts.filter(F.col("part") == i).drop("part") for i in range(3))
+    known = test.select("user", "movie", F.col("rating").alias("known"))
+    row = film.recovery(train, validation, known, (2, 4)).first()
+    assert row.n == test.count() and row.smallest_chosen
+    assert row.model_rmse < row.mean_rmse / 2
+    assert abs(row.mean_rmse - rate.mean_baseline(train, test).first().rmse) < 1e-9
+    # Ratings without a structure: the known values are not found.
+    blank = train.withColumn("rating", F.lit(3.0))
+    assert film.recovery(blank, validation, known, (2,)).first().model_rmse > 1.5
+
+
 def test_unknown_ids_get_no_prediction(spark, taste):
     model = film.fit(taste, 2)
     pairs = spark.createDataFrame([(0, 0), (0, 999), (999, 0)], "user int, movie int")
