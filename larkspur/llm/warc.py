@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from larkspur.session import shared_folder
+from larkspur.session import shared_folder, stored
 
 LEAST_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -163,12 +163,36 @@ def pages_of(archive: Archive) -> DataFrame:
         F.decode("payload", "utf-8").alias("html"))
 
 
-def record_digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Write the archive, read it back, and describe each record: payload size and digest are
-    those of the stored bytes, type and reference those of the header.
+def read_record(record: Column) -> Column:
+    """What a reader finds in the bytes of one record: a struct of ``header`` (the bytes of the
+    WARC header block with its empty line and the HTTP header) and ``payload`` (the bytes after
+    them, without the record's end). A record whose ``Content-Length`` is not the number of bytes
+    that follow its header block raises an error.
+    """
+    size = len(_LINE + _LINE)
+    as_text = record.cast("string")
+    block = F.octet_length(F.substring_index(as_text, _LINE + _LINE, 1)) + size
+    head = F.octet_length(F.substring_index(as_text, _LINE + _LINE, 2)) + size
+    total = F.octet_length(record)
+    named = F.regexp_extract(F.substring_index(as_text, _LINE + _LINE, 1),
+                             r"\r\nContent-Length: ([0-9]+)", 1).try_cast("bigint")
+    whole = F.coalesce(named == total - block - size, F.lit(False)) & (
+        F.right(as_text, F.lit(size)) == _LINE + _LINE)
+    header = F.when(whole, F.substring(record, F.lit(1), head)).otherwise(
+        F.raise_error(F.lit("a record does not have its length")).cast("binary"))
+    return F.struct(header.alias("header"), F.substring(
+        record, head + 1, total - head - size).alias("payload"))
+
 
-    Only sizes and digests, not bytes, meet the headers, so a payload with many records is
-    read and verified once.
+def record_digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """Write the archive, read it back, rebuild every record, and describe it from its bytes.
+
+    Payload size and digest of a response are those of the payload found in the record; a revisit
+    has those of the record it refers to. Only sizes and digests, not bytes, meet the revisits, so
+    a payload with many records is rebuilt once. A digest other than the one in the record's
+    header, a wrong length and a revisit whose response is missing raise an error. Without a shared
+    folder nothing can be written for all tasks; the records are then built from the two tables
+    of the plan.
     """
     folder = shared_folder(spark)
     if folder:
@@ -177,10 +201,32 @@ def record_digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
         archive = read(spark, path)
     else:
         archive = build(pages)
-    stored = verified(archive.payloads).select(
-        "sha256", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
-        base32(F.unhex(F.sha1("payload"))).alias("payload_digest"))
-    return archive.headers.join(stored, "sha256").select(
-        header_field("X-Page-Id").cast("bigint").alias("page_id"), "payload_bytes",
-        "payload_digest", header_field("WARC-Type").alias("record_type"),
+    # The records' bytes are read once, where they are rebuilt.
+    parsed = records(archive).select("record_id", read_record(F.col("record")).alias("r"))
+    about = parsed.select("record_id", "r.header", F.sha1("r.payload").alias("sha1"),
+                          F.octet_length("r.payload").cast("bigint").alias("payload_bytes"))
+    described = about.select(
+        "record_id", "payload_bytes", base32(F.unhex("sha1")).alias("found"),
+        header_field("WARC-Payload-Digest").alias("named"),
+        header_field("WARC-Type").alias("record_type"),
+        header_field("X-Page-Id").cast("bigint").alias("page_id"),
+        header_field("WARC-Refers-To").alias("target"),
         header_field("X-Refers-To-Page-Id").cast("bigint").alias("refers_to"))
+    described = stored(described)
+    agreed = F.col("named") == F.concat(F.lit("sha1:"), "found")
+    responses = described.filter("record_type = 'response'").select(
+        "record_id", "page_id", "payload_bytes",
+        F.when(agreed, F.col("found")).otherwise(F.raise_error(F.concat(
+            F.lit("wrong digest in "), "record_id")).cast("string")).alias("payload_digest"))
+    of = responses.select(F.col("record_id").alias("target"),
+                          F.col("payload_bytes").alias("bytes"), "payload_digest")
+    digest = F.when(F.col("named") == F.concat(F.lit("sha1:"), "payload_digest"),
+                    F.col("payload_digest")).otherwise(F.raise_error(F.concat(
+                        F.lit("nothing to refer to for "), "record_id")).cast("string"))
+    revisits = described.filter("record_type = 'revisit'").drop("payload_bytes").join(
+        of, "target", "left").select(
+            "page_id", F.col("bytes").alias("payload_bytes"), digest.alias("payload_digest"),
+            "record_type", "refers_to")
+    return responses.select(
+        "page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"),
+        F.lit(None).cast("bigint").alias("refers_to")).union(revisits)

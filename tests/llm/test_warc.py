@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from larkspur.llm import warc
+from pyspark.sql import functions as F
 
 ROWS = [(1, "http://a/1", "<p>same</p>"), (2, "http://a/2", "<p>same</p>"), (3, None, None),
         (4, "http://a/4\r\nX-Page-Id: 99", ""), (5, "http://é/5", "ü\r\n\r\nWARC-Type: x"),
@@ -67,6 +68,20 @@ def test_damage_is_noticed(pages):
         warc.pages_of(warc.Archive(archive.headers, bad)).collect()
 
 
+def test_reading_a_record_finds_its_parts_and_a_wrong_length(pages):
+    archive = warc.build(pages)
+    built = {r.record_id: bytes(r.header) for r in archive.headers.collect()}
+    whole = warc.records(archive)
+    for r in whole.select("record_id", "record", warc.read_record(F.col("record")).alias("r")
+                          ).collect():
+        assert bytes(r.r.header) == built[r.record_id]
+        assert bytes(r.record) == bytes(r.r.header) + bytes(r.r.payload) + b"\r\n\r\n"
+    cut = F.expr("substring(record, 1, octet_length(record) - 5)")
+    for bad in (cut, F.concat(F.col("record"), F.lit("\r\n\r\n").cast("binary"))):
+        with pytest.raises(Exception, match="does not have its length"):
+            whole.select(warc.read_record(bad).alias("r")).collect()
+
+
 def test_small_payloads_are_all_responses_and_empty_tables_pass(spark, pages):
     kinds = warc.build(pages, least_bytes=100).headers.select(
         warc.header_field("WARC-Type").alias("kind")).groupBy("kind").count().collect()
