@@ -155,3 +155,23 @@ def test_nothing_to_learn_from(docs):
     assert train(clean) is None
     assert [r.spans for r in find_secrets(clean, None).collect()] == [[], []]
     assert secret_digest(clean.filter("false")).collect() == []
+
+
+def test_training_takes_every_example(docs, monkeypatch):
+    """All different findings and candidates are examples, all are in parts, and all that are kept
+    from training are counted for the thresholds."""
+    from larkspur.llm import secret_scan
+    rows = [(i, f'word{i:05d} and token = "{hashlib.sha256(str(i).encode()).hexdigest()}" end')
+            for i in range(400)]
+    every = secret_scan.examples(docs(rows), "text")
+    assert every.groupBy("kind").count().collect() and every.filter(
+        f"kind < {secret_scan.FORMS}").count() == 400 and every.count() == 800
+    again = secret_scan.examples(docs(rows + rows[:1] * 50, 7), "text")
+    assert sorted(every.collect()) == sorted(again.collect())
+    monkeypatch.setattr(secret_scan, "ALTERED", 20)
+    parts = [secret_scan.Part.unpacked(bytes(r.data)) for r in secret_scan.packed_parts(every, 3).collect()]
+    assert len(parts) == 3 and sum(len(p.labels) for p in parts) == 800 + 3 * 20
+    monkeypatch.setattr(secret_scan, "STEPS", 40)
+    network = train(docs(rows), part=300)
+    held = sum(p.seen()[1] + p.seen()[3] for p in parts)
+    assert sum(n + m for n, _, m, _ in network.measured) == held
