@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import tokens_without
 from larkspur.operators.counting import total_rows
-from larkspur.session import stored
+from larkspur.session import dealt, stored
 
 # Records of one token that meet in one task: at most about this many from each side.
 BLOCK = 4096
@@ -59,16 +59,29 @@ def biggest_record(records: DataFrame, stopwords: Iterable[str] = ()) -> DataFra
 def term_frequencies(records: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
     """``id``, ``token``, ``tf``: share of a record's tokens, per distinct token.
 
-    The records are placed by id before their tokens become rows, so the count needs no
-    shuffle of its own. The outer explode keeps Spark from looking for empty token lists
-    ahead of the shuffle, where it would cut every text into tokens a second time.
+    The records are placed by id, in partitions of bounded size, before their tokens become rows,
+    so the count needs no shuffle of its own and a task counts a bounded number of tokens.
     """
-    listed = record_tokens(records.repartition("id"), stopwords).select(
-        "id", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("token"))
-    counted = listed.filter(F.col("token").isNotNull()).groupBy("id", "n_tokens", "token").agg(F.count(F.lit(1)).alias("n"))
+    placed = dealt(records, "id", "text")
+    counted = _counted_tokens(record_tokens(placed, stopwords), "id").groupBy(
+        "id", "n_tokens", "token").agg(F.sum("n").alias("n"))
     return counted.select("id", "token", (F.col("n") / F.col("n_tokens")).alias("tf"))
 
 
+def _counted_tokens(listed: DataFrame, *keep: str) -> DataFrame:
+    """The ``keep`` columns, ``n_tokens``, and a row for each distinct ``token`` of the list in
+    ``tokens`` with its number ``n``. The list is sorted and cut into runs, so a task holds one
+    list at a time and no table of counts."""
+    ordered = listed.select(*keep, F.sort_array("tokens").alias("ordered"))
+    marked = F.transform("ordered", lambda x, i: F.when(
+        ~x.eqNullSafe(F.get("ordered", i - 1)), F.struct(x.alias("token"), i.alias("at"))))
+    runs = ordered.select(*keep, F.size("ordered").alias("n_tokens"),
+                          F.filter(marked, lambda e: e.isNotNull()).alias("runs"))
+    counted = F.transform("runs", lambda e, j: F.struct(e.token.alias("token"), (F.coalesce(
+        F.get("runs", j + 1).getField("at"), F.col("n_tokens")) - e.at).alias("n")))
+    return runs.select(*keep, "n_tokens", F.inline(counted))
+
+
 def inverse_frequencies(records: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
     """``token``, ``df``, ``idf`` = N/df over all records."""
     present = records.select(
@@ -163,18 +176,15 @@ def record_ids(records: DataFrame) -> DataFrame:
 def _distinct_vectors(records: DataFrame, stopwords: Iterable[str]) -> DataFrame:
     """Term frequencies per distinct text.
 
-    One shuffle by text key removes copies (partially before the shuffle); counting the
-    tokens afterwards stays within the same partitions.
+    One shuffle by text key removes copies (partially before the shuffle); the tokens of a text
+    are then counted within its row.
     """
     once = _keyed(records).groupBy("text_key").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
         F.first("text").alias("text"))
-    listed = (once.withColumn("tokens", tokens_without(F.col("text"), stopwords))
-              .select("text_key", "id", "copies", F.size("tokens").alias("n_tokens"),
-                      F.explode("tokens").alias("token")))
-    counted = (listed.groupBy("text_key", "id", "copies", "n_tokens", "token")
-               .agg(F.count(F.lit(1)).alias("n")))
-    return counted.select("id", "copies", "token", (F.col("n") / F.col("n_tokens")).alias("tf"))
+    listed = once.select("id", "copies", tokens_without(F.col("text"), stopwords).alias("tokens"))
+    return _counted_tokens(listed, "id", "copies").select(
+        "id", "copies", "token", (F.col("n") / F.col("n_tokens")).alias("tf"))
 
 
 def _token_counts(frequencies: DataFrame) -> DataFrame:

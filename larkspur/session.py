@@ -8,9 +8,13 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Bytes of text that one partition takes before its words become rows.
+TEXT_BYTES = 8 << 20
+
 # Frames kept in the innermost open scope; None outside of all scopes.
 _SCOPE: ContextVar[list[DataFrame] | None] = ContextVar("larkspur_scope", default=None)
 
@@ -37,6 +41,17 @@ def build_session(app_name: str = "larkspur", master: str | None = None,
     return builder.getOrCreate()
 
 
+def dealt(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows placed by ``key`` in as many partitions as their ``text`` needs at ``TEXT_BYTES`` each.
+
+    What becomes of a text in a task takes many times its size, so partitions are not joined up to
+    the size that suits plain rows. The sizes are summed up in a read of their own.
+    """
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(least, -(-size // TEXT_BYTES)), key)
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder the cluster names in ``spark.checkpoint.dir``, if it names one."""
     context = spark.sparkContext

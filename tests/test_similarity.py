@@ -283,3 +283,35 @@ def test_vectors_of_hand_written_texts(spark):
 def test_stored_table_reads_back(spark):
     kept = stored(spark.range(10).withColumn("side", F.lit("l")))
     assert kept.count() == 10 and kept.columns == ["id", "side"]
+
+
+def test_term_frequencies_hold_a_bounded_number_of_tokens_in_a_task(spark, monkeypatch):
+    """Partitions follow from the bytes of text, and texts of one id and length count together."""
+    from larkspur import session
+    from larkspur.operators.similarity import term_frequencies
+    rows = [(i, f"a b a c{i} {'d ' * (i % 5)}") for i in range(200)] + [(3, "b b a c3 d d d")] * 2 + [
+        (None, "x y"), (None, None), (201, ""), (202, "a")]
+    records = spark.createDataFrame(rows, "id long, text string")
+    monkeypatch.setattr(session, "TEXT_BYTES", 50)
+    found = term_frequencies(records)
+    assert found.rdd.getNumPartitions() >= sum(len(t or "") for _, t in rows) // 50
+    expected = {}
+    for i, text in rows:
+        words = (text or "").split()
+        for word in words:
+            key = (i, len(words), word)
+            expected[key] = expected.get(key, 0) + 1
+    assert sorted(((r.id or -1), r.token, round(r.tf, 9)) for r in found.collect()) == sorted(
+        ((i or -1), w, round(n / size, 9)) for (i, size, w), n in expected.items())
+
+
+def test_tokens_of_a_distinct_text_are_counted_in_its_row(spark):
+    from larkspur.operators.similarity import _distinct_vectors
+    texts = ["b a b", "b a b", "c", "", None, "a a a a"]
+    records = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = _distinct_vectors(records, ["c"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Aggregate(") == 2 and "n_tokens" not in "".join(
+        line for line in plan.splitlines() if "Aggregate(" in line)
+    assert sorted((r.id, r.copies, r.token, round(r.tf, 9)) for r in found.collect()) == [
+        (0, 2, "a", round(1 / 3, 9)), (0, 2, "b", round(2 / 3, 9)), (5, 1, "a", 1.0)]
