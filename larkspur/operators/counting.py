@@ -59,8 +59,16 @@ def grouped_values(df: DataFrame, key: str, value: str, within: str) -> DataFram
     ``within`` is a column that bounds the size of an array (the document or day a
     value comes from). A key that holds a large part of all rows is thereby spread
     over many rows and tasks instead of being gathered into one.
+
+    Equal values (as grouping compares them) are counted first; a list then has an entry for each
+    different value, which is repeated when the array is made. Where ``df`` is placed by
+    ``within``, neither step shuffles.
     """
-    return df.groupBy(key, within).agg(F.array_sort(F.collect_list(value)).alias("values"))
+    counted = df.groupBy(key, within, value).agg(F.count(value).alias("value_times"))
+    entries = F.array_sort(F.collect_list(F.struct(
+        F.col(value).alias("value"), F.col("value_times").cast("int").alias("times"))))
+    repeated = F.transform(entries, lambda e: F.array_repeat(e.value, e.times))
+    return counted.groupBy(key, within).agg(F.flatten(repeated).alias("values"))
 
 
 def sum_grouped_values(grouped: DataFrame, key: str) -> DataFrame:

@@ -39,8 +39,8 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def doc_words(spark: SparkSession, folder: str) -> DataFrame:
-    lines = words.cleaned_lines(t.document_lines(spark, folder))
+def doc_words(spark: SparkSession, folder: str, placed: bool = False) -> DataFrame:
+    lines = words.cleaned_lines(t.document_lines(spark, folder, placed))
     return words.words_of(lines, carry=("doc_id",))
 
 
@@ -138,7 +138,7 @@ def mean_count_per_word(spark, folder):
 
 
 def _grouped_words(spark, folder):
-    ones = doc_words(spark, folder).withColumn("one", F.lit(1))
+    ones = doc_words(spark, folder, placed=True).withColumn("one", F.lit(1))
     return counting.grouped_values(ones, "word", "one", within="doc_id")
 
 

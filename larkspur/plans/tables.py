@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.numbers import month_names
 from larkspur.operators.ratings import split_rows
+from larkspur.session import dealt
 from larkspur.sources.lines import accepted, spread
 from larkspur.sources.ratings import parse_movie_lines, parse_rating_lines
 from larkspur.sources.records import parse_match_lines, parse_product_lines
@@ -47,9 +48,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-def document_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id``, ``line_no`` (from 0), ``value``"""
-    return documents(spark, folder).select(
+def document_lines(spark: SparkSession, folder: str, placed: bool = False) -> DataFrame:
+    """``doc_id``, ``line_no`` (from 0), ``value``; ``placed`` by document, in partitions of bounded
+    size, for steps that group by it."""
+    docs = documents(spark, folder)
+    return (dealt(docs, "doc_id", "text") if placed else docs).select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from larkspur.operators import counting
 from larkspur.operators.lines import number_rows, number_text_lines
 from larkspur.plans import words as plans
+from larkspur.plans.registry import QUERIES
 from larkspur.sources.lines import read_lines
 
 WORDS = ["cat", "elephant", "rat", "rat", "cat"]
@@ -126,3 +127,23 @@ def test_word_totals_and_last_words(spark):
     assert [r.word for r in plans.last_words(lines, 2).orderBy("rank").collect()] == [
         "zounds", "zounds"]
     assert [(r.word, r.n) for r in plans.top_words(lines, 1).collect()] == [("zounds", 2)]
+
+
+def test_grouped_values_repeat_and_drop_nulls(spark):
+    rows = [("a", 1, 5), ("a", 1, 3), ("a", 1, 5), ("a", 2, None), ("a", 2, 7), ("b", 1, None),
+            (None, None, 4), (None, None, 4)]
+    df = spark.createDataFrame(rows, "word string, doc_id int, v int")
+    grouped = counting.grouped_values(df, "word", "v", within="doc_id").collect()
+    assert {(r.word, r.doc_id): r["values"] for r in grouped} == {
+        ("a", 1): [3, 5, 5], ("a", 2): [7], ("b", 1): [], (None, None): [4, 4]}
+
+
+def test_words_grouped_shuffles_texts_and_no_words(spark, tmp_path):
+    rows = [(1, "b a b\nB!"), (2, "a"), (2, "a c"), (3, None), (None, "c c")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    df = QUERIES["words_grouped"](spark, str(tmp_path))
+    assert {tuple(r) for r in df.collect()} == {
+        ("b", 1, "1,1,1"), ("a", 1, "1"), ("a", 2, "1,1"), ("c", 2, "1"), ("c", None, "1,1")}
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange ") == 1

@@ -116,3 +116,14 @@ def test_map_vectors(spark):
                                        vectors.cosine(a, b)).collect()]
     assert got[0] == (102.0, math.sqrt(38), 102 / (math.sqrt(38) * math.sqrt(401)))
     assert got[1] == (0.0, 1.0, 0.0) and got[2] == (0.0, 1.0, None)
+
+
+def test_cleaning_pattern_lists_what_it_keeps(spark):
+    every = [chr(c) for c in range(0x3100) if not 0xd800 <= c < 0xe000] + ["\U0001f600", "￿"]
+    pattern = re.compile(r"[^A-Za-z0-9\s+]", re.ASCII)
+    kept = [c for c in every if not pattern.match(c)]
+    df = spark.createDataFrame([("".join(every),)], "t string")
+    cleaned = F.regexp_replace("t", text.NOT_KEPT_WHEN_CLEANING, "")
+    assert df.select(cleaned).first()[0] == "".join(kept)
+    # A class of ranges is looked up far more slowly.
+    assert "-" not in text.NOT_KEPT_WHEN_CLEANING
