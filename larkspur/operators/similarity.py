@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import tokens_without
 from larkspur.operators.counting import total_rows
-from larkspur.session import dealt, stored
+from larkspur.session import dealt, stored, text_parts
 
 # Records of one token that meet in one task: at most about this many from each side.
 BLOCK = 4096
@@ -143,7 +143,8 @@ class Vectors:
     divided by the vector's norm; ``tail`` is the length of the part of the vector from this
     token on, most frequent token last. ``left``/``right`` have a row per entry.
 
-    Norms and tails cover all tokens of a record.
+    Norms cover all tokens of a record, tails those that occur on both sides: no other token adds
+    to a score.
 
     ``left_ids``/``right_ids``: ``id``, ``vector_id`` for every record.
     """
@@ -199,7 +200,7 @@ def _weighted(frequencies: DataFrame, idf: DataFrame, n_records: Column) -> Data
     # One idf row per token: each task's share fits a hash table, and nothing is sorted.
     # A token has at most one row per distinct text, so even one found everywhere is a
     # small part of all rows; adaptive execution splits its partition if it is large.
-    return frequencies.join(idf.hint("shuffle_hash"), "token").withColumn(
+    return frequencies.join(idf, "token").withColumn(
         "weight", F.col("tf") * (n_records / F.col("df")))
 
 
@@ -209,31 +210,48 @@ def _both_sides(left: DataFrame, right: DataFrame, stopwords: Iterable[str]) ->
             .unionByName(_distinct_vectors(right, stopwords).withColumn("side", F.lit("right"))))
 
 
-def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] = ()) -> Vectors:
-    """Unit vectors of both sides.
+def _meeting_weights(left: DataFrame, right: DataFrame, stopwords: Iterable[str]) -> DataFrame:
+    """``side``, ``id``, ``copies``, ``number``, ``df``, ``weight``, ``square``: a row for every
+    record and token that both sides hold, and one more for a record's other tokens together, with
+    nothing but the sum of their ``square``. That sum is all that scores need of them.
 
-    Term frequencies and vectors are each written once: the frequencies feed both the
-    idf and the weights, the vectors feed every search and summary built on them.
+    Term frequencies and counts are written once. The rows of a record are placed together, in
+    partitions of bounded size.
     """
-    stopwords = tuple(stopwords)
     frequencies = stored(_both_sides(left, right, stopwords))
-    idf = stored(_token_counts(frequencies).withColumn(
+    counts = stored(_token_counts(frequencies).withColumn(
         "number", F.monotonically_increasing_id()))
-    weighted = _weighted(frequencies, idf, total_rows(left) + total_rows(right))
-
-    # A record's tokens are one text's tokens, so this window never holds more than a text.
-    rare_last = Window.partitionBy("side", "id").orderBy(F.desc("df"), F.desc("number"))
+    n_records = total_rows(left) + total_rows(right)
+    met = (F.col("left_df") > 0) & (F.col("right_df") > 0)
     square = F.col("weight") * F.col("weight")
+    # Few tokens may be on both sides; written by themselves, they are joined by their real size.
+    shared = stored(counts.filter(met).select("token", "df", "number"))
+    rows = _weighted(frequencies, shared, n_records).select(
+        "side", "id", "copies", "number", "df", "weight", square.alias("square"))
+    others = (_weighted(frequencies, counts.filter(~met).select("token", "df").hint("shuffle_hash"),
+                        n_records)
+              .groupBy("side", "id", "copies").agg(F.sum(square).alias("square")))
+    texts = left.select("text").unionByName(right.select("text"))
+    return rows.unionByName(others, allowMissingColumns=True).repartition(
+        text_parts(texts, "text"), "id", "side")
+
+
+def build_vectors(left: DataFrame, right: DataFrame, stopwords: Iterable[str] = ()) -> Vectors:
+    """Unit vectors of both sides, written once: they feed every search and summary built on them."""
+    rows = _meeting_weights(left, right, tuple(stopwords))
+    # A record's tokens are one text's tokens, so this window never holds more than a text. The
+    # row of other tokens has no df and comes last: it is in the norm and in no tail.
+    rare_last = Window.partitionBy("id", "side").orderBy(
+        F.desc_nulls_last("df"), F.desc_nulls_last("number"))
     whole = rare_last.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = rare_last.rowsBetween(Window.unboundedPreceding, 0)
-    lengths = (weighted.withColumn("norm", F.sqrt(F.sum(square).over(whole)))
-               .withColumn("up_to", F.sqrt(F.sum(square).over(so_far))))
-    # Norms and tails are done: tokens that only one side has cannot meet any more. The rows of a
-    # record are together, so packing them needs no further shuffle.
+    lengths = (rows.withColumn("norm", F.sqrt(F.sum("square").over(whole)))
+               .withColumn("up_to", F.sqrt(F.sum("square").over(so_far))))
+    # The rows of a record are together, so packing them needs no further shuffle.
     entry = F.struct(F.col("number").alias("token"),
                      (F.col("weight") / F.col("norm")).alias("unit"),
                      (F.col("up_to") / F.col("norm")).alias("tail"))
-    packed = stored(lengths.filter("left_df > 0 AND right_df > 0").groupBy("side", "id").agg(
+    packed = stored(lengths.filter("number IS NOT NULL").groupBy("id", "side").agg(
         F.first("copies").alias("copies"), F.sort_array(F.collect_list(entry)).alias("entries")))
     return Vectors(packed.filter("side = 'left'").drop("side"),
                    packed.filter("side = 'right'").drop("side"),
@@ -433,17 +451,12 @@ def all_pairs_summary(vectors: Vectors, left: DataFrame, right: DataFrame) -> Da
 def records_summary(left: DataFrame, right: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
     """``all_pairs_summary`` of two record sets whose vectors nothing else needs. A record's weights
     come together once, for its norm, and go on as units; nothing is ordered by token."""
-    frequencies = stored(_both_sides(left, right, tuple(stopwords)))
-    weighted = _weighted(frequencies, _token_counts(frequencies),
-                         total_rows(left) + total_rows(right))
-    square = F.col("weight") * F.col("weight")
-    packed = weighted.groupBy("side", "id", "copies").agg(
-        F.sqrt(F.sum(square)).alias("norm"),
-        # Only tokens of both sides go on.
-        F.collect_list(F.when((F.col("left_df") > 0) & (F.col("right_df") > 0),
-                              F.struct("token", "weight"))).alias("entries"))
-    units = packed.select("side", "copies", "norm", F.inline("entries")).withColumn(
-        "unit", F.col("weight") / F.col("norm"))
+    own = Window.partitionBy("id", "side", "copies")
+    units = (_meeting_weights(left, right, tuple(stopwords))
+             .withColumn("norm", F.sqrt(F.sum("square").over(own)))
+             .filter("number IS NOT NULL")
+             .select("side", "copies", F.col("number").alias("token"),
+                     (F.col("weight") / F.col("norm")).alias("unit")))
     return _summary(units, left, right)
 
 

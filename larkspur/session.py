@@ -41,15 +41,20 @@ def build_session(app_name: str = "larkspur", master: str | None = None,
     return builder.getOrCreate()
 
 
+def text_parts(df: DataFrame, text: str) -> int:
+    """How many partitions the ``text`` of all rows needs at ``TEXT_BYTES`` each, a task for every
+    core at least. The sizes are summed up in a read of their own."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TEXT_BYTES))
+
+
 def dealt(df: DataFrame, key: str, text: str) -> DataFrame:
     """The rows placed by ``key`` in as many partitions as their ``text`` needs at ``TEXT_BYTES`` each.
 
     What becomes of a text in a task takes many times its size, so partitions are not joined up to
-    the size that suits plain rows. The sizes are summed up in a read of their own.
+    the size that suits plain rows.
     """
-    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    least = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(least, -(-size // TEXT_BYTES)), key)
+    return df.repartition(text_parts(df, text), key)
 
 
 def shared_folder(spark: SparkSession) -> str | None:

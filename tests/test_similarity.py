@@ -315,3 +315,28 @@ def test_tokens_of_a_distinct_text_are_counted_in_its_row(spark):
         line for line in plan.splitlines() if "Aggregate(" in line)
     assert sorted((r.id, r.copies, r.token, round(r.tf, 9)) for r in found.collect()) == [
         (0, 2, "a", round(1 / 3, 9)), (0, 2, "b", round(2 / 3, 9)), (5, 1, "a", 1.0)]
+
+
+def test_records_are_packed_in_partitions_of_bounded_size(spark, monkeypatch):
+    """Partitions follow from the bytes of text; tokens of one side count in norms alone."""
+    from larkspur import session
+    left = frame(spark, [(1, "p q"), (2, "q")])
+    right = frame(spark, [(i, f"q own{i} other{i}") for i in range(10, 30)] + [(9, "p q"), (9, "z z")])
+    monkeypatch.setattr(session, "TEXT_BYTES", 32)
+    texts = left.unionByName(right).agg(F.sum(F.octet_length("text"))).first()[0]
+    assert sim._meeting_weights(left, right, ()).rdd.getNumPartitions() >= texts // 32 > 8
+    vectors = sim.build_vectors(left, right)
+    packed = {r.id: r.entries for r in vectors.right_packed.collect()}
+    assert len(packed) == 21
+    # N = 24; df of q is 23, of each own word 1: the tail of q is q's own length.
+    q = 24 / 23 / 3
+    (entry,) = packed[10]
+    assert abs(entry.unit - q / math.sqrt(q * q + 2 * 8 * 8)) < 1e-12 and abs(entry.tail - entry.unit) < 1e-12
+    # Two texts of one id make one vector, as they did before.
+    p, q, z = 24 / 2 / 2, 24 / 23 / 2, 24.0
+    assert sorted(round(e.unit, 9) for e in packed[9]) == sorted(
+        round(w / math.sqrt(p * p + q * q + z * z), 9) for w in (p, q))
+    sums = [f.first().sum_score for f in (sim.records_summary(left, right.filter("id <> 9")),
+                                          sim.all_pairs_summary(sim.build_vectors(
+                                              left, right.filter("id <> 9")), left, right))]
+    assert abs(sums[0] - sums[1]) < 1e-12
