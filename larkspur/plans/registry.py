@@ -584,10 +584,15 @@ def rating_split_sizes(spark, folder):
     return counting.count_by(t.rating_parts(spark, folder), "part")
 
 
+def _parted(spark, folder) -> tuple[DataFrame, list[DataFrame]]:
+    """All ratings, and of them the training, validation and test rows; written once, as each is
+    read several times."""
+    rows = stored(t.rating_parts(spark, folder))
+    return rows.drop("part"), [rows.filter(F.col("part") == i).drop("part") for i in range(3)]
+
+
 def _parts(spark, folder) -> list[DataFrame]:
-    """Training, validation and test rows; written once, as each is read several times."""
-    parts = stored(t.rating_parts(spark, folder))
-    return [parts.filter(F.col("part") == i).drop("part") for i in range(3)]
+    return _parted(spark, folder)[1]
 
 
 def _predicted_by_mean(spark, folder):
@@ -657,20 +662,23 @@ def als_predicted_counts(spark, folder):
     return film.select_rank(train, validation).errors.select("rank", "n")
 
 
+def _rated_by_new_user(ratings: DataFrame) -> DataFrame:
+    often = counting.top_by_count(ratings, "movie", 10)
+    return often.select(F.lit(NEW_USER).alias("user"), "movie",
+                        (F.col("movie") % 5 + 1).cast("double").alias("rating"))
+
+
 @query
 def new_user_ratings(spark, folder):
     """The new user rates the ten most rated movies; the rating follows from the movie's key."""
-    often = counting.top_by_count(t.ratings(spark, folder), "movie", 10)
-    return often.select(F.lit(NEW_USER).alias("user"), "movie",
-                        (F.col("movie") % 5 + 1).cast("double").alias("rating"))
+    return _rated_by_new_user(t.ratings(spark, folder))
 
 
 @query
 def training_with_new_user(spark, folder):
     """Ratings per user of the training rows, the new user's ones included."""
-    train = _parts(spark, folder)[0]
-    return counting.count_by(
-        film.with_new_user(train, new_user_ratings(spark, folder)), "user")
+    ratings, (train, _, _) = _parted(spark, folder)
+    return counting.count_by(film.with_new_user(train, _rated_by_new_user(ratings)), "user")
 
 
 @query
@@ -681,21 +689,23 @@ def recommendable_movies(spark, folder):
 
 
 def _new_user_model(spark, folder):
-    train, validation, test = _parts(spark, folder)
-    new = new_user_ratings(spark, folder)
+    """The model with the new user in it, their ratings, all others and the test rows. The new
+    user's ratings are few, but follow from all others, so they are written once, too."""
+    ratings, (train, validation, test) = _parted(spark, folder)
+    new = stored(_rated_by_new_user(ratings))
     rank = film.select_rank(train, validation).best_rank
-    return film.fit(film.with_new_user(train, new), rank), new, test
+    return film.fit(film.with_new_user(train, new), rank), new, ratings, test
 
 
 @query
 def new_user_test_rmse(spark, folder):
-    model, _, test = _new_user_model(spark, folder)
+    model, _, _, test = _new_user_model(spark, folder)
     return rounded(film.model_error(model, test), "rmse")
 
 
 def _new_user_list(spark, folder):
-    model, new, _ = _new_user_model(spark, folder)
-    return film.recommendations(model, NEW_USER, new, t.ratings(spark, folder),
+    model, new, ratings, _ = _new_user_model(spark, folder)
+    return film.recommendations(model, NEW_USER, new, ratings,
                                 t.movies(spark, folder), RECOMMENDED_ABOVE, 20), new
 
 

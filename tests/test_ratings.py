@@ -1,5 +1,6 @@
 import math
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 from larkspur.operators import ratings as rate
 from larkspur.operators.lines import number_rows
 from larkspur.functions.text import text_sort_key
-from larkspur.plans import movies as film
+from larkspur.plans import movies as film, tables
+from larkspur.plans.registry import QUERIES
 
 SCHEMA = "user int, movie int, rating double"
 PREDICTED = [(1, 1, 5.), (1, 2, 3.), (1, 3, 4.), (2, 1, 3.), (2, 2, 2.), (2, 3, 4.)]
@@ -149,3 +151,13 @@ def test_recommendations_for_a_new_user(spark, taste):
     assert len(rows) == 5
     assert all(r.movie >= 8 and r.movie % 2 == 0 and r.n > 10 for r in rows)
     assert [r.prediction for r in rows] == sorted((r.prediction for r in rows), reverse=True)
+
+
+def test_new_user_jobs_write_the_ratings_once(spark, smallest_tables, monkeypatch):
+    made, lines = [], tables.rating_lines
+    monkeypatch.setattr(tables, "rating_lines", lambda *where: made.append(where) or lines(*where))
+    monkeypatch.setattr(film, "select_rank", lambda *parts: SimpleNamespace(best_rank=2))
+    for name in ("training_with_new_user", "new_user_test_rmse", "new_user_list_check"):
+        made.clear()
+        assert QUERIES[name](spark, smallest_tables).first() is not None
+        assert len(made) == 1, name
