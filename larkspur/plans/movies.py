@@ -20,9 +20,10 @@ from larkspur.session import shared_folder
 RANKS, ITERATIONS, REGULARISATION, SEED = (4, 8, 12), 5, 0.1, 5
 POPULAR_ABOVE, RECOMMENDED_ABOVE = 500, 75
 
-#: Blocks of users and of movies. Factors start per block, so the result depends on this number;
-#: it is fixed, and never taken from the cluster.
-BLOCKS = 10
+#: Blocks of users and of movies, and ratings that a block takes on average before there are more
+#: blocks. Factors start per block, so the result depends on the number of blocks; it follows from
+#: the ratings alone, and is never taken from the cluster.
+BLOCKS, BLOCK_RATINGS = 10, 5_000_000
 
 #: Rounds after which the factors are written to the shared folder, where one is named.
 CHECKPOINT_EVERY = 2
@@ -49,16 +50,25 @@ def popular_by_text_key(ratings: DataFrame, movies: DataFrame, more_than: int =
     return top(keyed, [F.desc("sort_key"), F.desc("movie")], k)
 
 
+def rating_blocks(train: DataFrame) -> int:
+    """Into how many blocks users and movies are cut, so that no block has many more than
+    ``BLOCK_RATINGS`` ratings: ``BLOCKS`` at least. The rows are counted in a read of their own."""
+    return max(BLOCKS, -(-train.count() // BLOCK_RATINGS))
+
+
 def fit(train: DataFrame, rank: int, iterations: int = ITERATIONS,
         regularisation: float = REGULARISATION, seed: int = SEED,
-        blocks: int = BLOCKS) -> ALSModel:
+        blocks: int | None = None) -> ALSModel:
     """Alternating least squares on explicit ratings; unknown ids get no prediction.
 
     Users and movies are cut into ``blocks`` each, and every user block exchanges factors with
-    every movie block. Give more for more ratings; the same number gives the same model.
+    every movie block. A task holds the ratings of one block and the factors they meet, so there
+    are more for more ratings (:func:`rating_blocks`) where no number is given; the same number
+    gives the same model.
     Every ``CHECKPOINT_EVERY`` rounds the factors are cut off from the rounds before them, so a
     lost executor repeats few of them.
     """
+    blocks = blocks or rating_blocks(train)
     every = CHECKPOINT_EVERY if shared_folder(train.sparkSession) else -1
     return ALS(rank=rank, maxIter=iterations, regParam=regularisation, seed=seed,
                numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=every,
@@ -93,21 +103,24 @@ def select_rank(train: DataFrame, validation: DataFrame,
                 ranks: Sequence[int] = RANKS, **settings) -> Selection:
     """Fit one model per rank and compare validation errors; the first minimum wins.
 
-    The fits do not depend on each other and are submitted side by side. Their inputs are
-    kept until all are done. Only one error value per rank reaches the driver. ``settings`` are
-    those of :func:`fit`.
+    The fits do not depend on each other and are submitted side by side, but fewer at a time the
+    more blocks each has: what they keep of the ratings is bounded then, and one fit has tasks
+    enough. Their inputs are kept until all are done. Only one error value per rank reaches the
+    driver. ``settings`` are those of :func:`fit`.
     """
     spark = train.sparkSession
     train, validation = train.persist(), validation.persist()
+    blocks = settings.pop("blocks", None)
 
     def evaluate(rank: int) -> tuple[ALSModel, Row]:
-        model = fit(train, rank, **settings)
+        model = fit(train, rank, blocks=blocks, **settings)
         return model, model_error(model, validation).first()
 
     try:
+        blocks = blocks or rating_blocks(train)
         validation.count()
-        with ThreadPool(len(ranks)) as pool:
-            results = pool.map(inheritable_thread_target(spark)(evaluate), ranks)
+        with ThreadPool(max(1, len(ranks) * BLOCKS // max(BLOCKS, blocks))) as pool:
+            results = pool.map(inheritable_thread_target(spark)(evaluate), ranks, chunksize=1)
     finally:
         train.unpersist()
         validation.unpersist()

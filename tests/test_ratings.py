@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -134,6 +135,39 @@ def test_recovery_tells_a_model_from_the_mean(spark, taste):
     assert film.recovery(blank, validation, known, (2,)).first().model_rmse > 1.5
 
 
+def test_blocks_grow_with_the_ratings(spark, taste, monkeypatch):
+    made, als = [], film.ALS
+    monkeypatch.setattr(film, "ALS", lambda **settings: made.append(settings) or als(**settings))
+    film.fit(taste, 2)
+    monkeypatch.setattr(film, "BLOCK_RATINGS", 40)
+    model = film.fit(taste, 2)
+    film.fit(taste, 2, blocks=3)
+    assert [x["numUserBlocks"] for x in made] == [film.BLOCKS, 24, 3]
+    assert [x["numItemBlocks"] for x in made] == [film.BLOCKS, 24, 3]
+    assert taste.count() == 24 * 40
+    error = film.model_error(model, taste).first()
+    assert error.n == taste.count() and error.rmse < .5
+
+
+@pytest.mark.parametrize("block_ratings, at_once", [(1000, 3), (64, 2), (40, 1)])
+def test_fits_hold_a_bounded_number_of_blocks(spark, taste, monkeypatch, block_ratings, at_once):
+    running, most, fit = [], [], film.fit
+
+    def counted(*parts, **settings):
+        running.append(1)
+        most.append(len(running))
+        time.sleep(.5)
+        model = fit(*parts, **settings)
+        running.pop()
+        return model
+
+    monkeypatch.setattr(film, "fit", counted)
+    monkeypatch.setattr(film, "BLOCK_RATINGS", block_ratings)
+    chosen = film.select_rank(taste, taste, (1, 2, 3), iterations=1)
+    assert max(most) == at_once
+    assert [r["rank"] for r in chosen.errors.collect()] == [1, 2, 3]
+
+
 def test_unknown_ids_get_no_prediction(spark, taste):
     model = film.fit(taste, 2)
     pairs = spark.createDataFrame([(0, 0), (0, 999), (999, 0)], "user int, movie int")
